@@ -9,10 +9,13 @@ the first ``k`` (``rank()`` semantics: ties are all kept). Two plans:
   tasks (the join is hashed on the value too), so no group is ever gathered
   into one task.
 * ``"window"``: ``rank()``/``row_number()`` over ``partitionBy(keys)`` and a
-  filter; Catalyst adds a ``WindowGroupLimit`` so each partition keeps only
-  its local leaders, but the final ranking of a group runs in one task.
+  filter. Catalyst plans a *partial* ``WindowGroupLimit`` before the shuffle
+  and a final one after it, so each map task sends only its local leaders of
+  a group (ties included): a hot group reaches its final task as at most
+  (map tasks x leaders) rows, not as its whole row set.
 
-``strategy="auto"`` takes ``"join"`` whenever it applies.
+``strategy="auto"`` takes ``"window"`` (fewer stages); ``"join"`` is kept for
+engines without the partial group limit.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ def top_per_group(df: DataFrame, keys: list[str], order_col: str, k: int = 1,
     ``rank()`` does), so a group whose values are all NULL keeps every row.
     """
     if strategy == "auto":
-        strategy = "join" if (k == 1 and ties) else "window"
+        strategy = "window"
     if strategy == "join":
         if k != 1 or not ties:
             raise ValueError("the join plan computes k=1 with ties only")
