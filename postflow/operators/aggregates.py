@@ -85,41 +85,46 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
     hist = (df.select(*[F.col(k).alias(a) for k, a in zip(keys, g)], F.col(col).alias("_v"))
               .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
 
+    def bucket(shift: int):
+        return F.shiftright("_v", shift) if shift else F.col("_v")
+
+    def choose(level: DataFrame) -> DataFrame:
+        # level: (g, _b, _bc, _r). Keep the bucket whose running count first
+        # reaches the target rank ``_r``; NULL ``_r`` marks a group without values,
+        # which keeps its single NULL bucket.
+        upto = Window.partitionBy(*g).orderBy(F.col("_b").asc_nulls_last()) \
+                     .rowsBetween(Window.unboundedPreceding, 0)
+        cum = F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(upto)
+        before = F.col("_cum") - F.col("_bc")
+        return (level.withColumn("_cum", cum)
+                     .where((F.col("_b").isNotNull() & (before < F.col("_r"))
+                             & (F.col("_r") <= F.col("_cum"))) | F.col("_r").isNull())
+                     .select(*g, "_b", (F.col("_r") - before).alias("_r")))
+
+    # Pass 1: coarse buckets; NULL values form a NULL bucket that carries no rank.
     whole = Window.partitionBy(*g)
-    upto = whole.orderBy(F.col("_b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-
-    # Pass 1 over coarse buckets; NULL values form a NULL bucket that carries
-    # no rank, so a group with only NULLs still yields one row.
-    b = F.shiftright("_v", shifts[0]) if shifts[0] else F.col("_v")
-    level = (hist.groupBy(*g, b.alias("_b")).agg(F.sum("_c").alias("_bc"))
-                 .withColumn("_n", F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(whole))
-                 .withColumn("_cum", F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(upto))
-                 .withColumn("_r", F.greatest(F.ceil(F.lit(q) * F.col("_n")), F.lit(1))))
-    chosen = level.where(
-        (F.col("_b").isNotNull() & (F.col("_cum") - F.col("_bc") < F.col("_r"))
-         & (F.col("_r") <= F.col("_cum")))
-        | F.coalesce(F.col("_n") == 0, F.lit(True))
-    ).select(*g, "_b", (F.col("_r") - (F.col("_cum") - F.col("_bc"))).alias("_r"))
+    n = F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(whole)
+    level = (hist.groupBy(*g, bucket(shifts[0]).alias("_b")).agg(F.sum("_c").alias("_bc"))
+                 .withColumn("_n", n)
+                 .withColumn("_r", F.when(F.col("_n") > 0,
+                                          F.greatest(F.ceil(F.lit(q) * F.col("_n")), F.lit(1)))))
+    chosen = choose(level)
 
     prev = shifts[0]
     for shift in shifts[1:]:
-        # Pass i: the histogram rows inside the chosen bucket, re-bucketed finer.
+        # Pass i: histogram rows inside the chosen bucket (NULL-safe match, so a
+        # group without values keeps its NULL row), re-bucketed finer. The match
+        # adds no filter below the histogram, so its shuffle is reused.
         t = [f"_t{i}" for i in range(len(g))]
         pick = chosen.select(*[F.col(a).alias(x) for a, x in zip(g, t)],
                              F.col("_b").alias("_pb"), F.col("_r").alias("_pr"))
-        inside = (hist.where(F.col("_v").isNotNull())
-                      .join(pick, _on(g, t) & (F.shiftright("_v", prev) == F.col("_pb")), "right"))
-        # groups without values (``_pb`` NULL) come through with NULL ``_v``
-        inside = inside.select(*[F.coalesce(F.col(a), F.col(x)).alias(a) for a, x in zip(g, t)],
-                               "_v", "_c", F.col("_pr").alias("_r"))
-        b = F.shiftright("_v", shift) if shift else F.col("_v")
-        level = (inside.groupBy(*g, b.alias("_b"), "_r").agg(F.sum("_c").alias("_bc"))
-                       .withColumn("_cum", F.sum("_bc").over(upto)))
-        chosen = level.where(
-            (F.col("_b").isNotNull() & (F.col("_cum") - F.col("_bc") < F.col("_r"))
-             & (F.col("_r") <= F.col("_cum")))
-            | F.col("_b").isNull()
-        ).select(*g, "_b", (F.col("_r") - (F.col("_cum") - F.col("_bc"))).alias("_r"))
+        inside = hist.join(pick, _on(g, t) & bucket(prev).eqNullSafe(F.col("_pb")), "inner")
+        inside = inside.select(*g, "_v", "_c", F.col("_pr").alias("_r"))
+        if shift:
+            level = inside.groupBy(*g, bucket(shift).alias("_b"), "_r").agg(F.sum("_c").alias("_bc"))
+        else:  # histogram rows are already one per (group, value)
+            level = inside.select(*g, F.col("_v").alias("_b"), F.col("_c").alias("_bc"), "_r")
+        chosen = choose(level)
         prev = shift
     return chosen.select(*[F.col(a).alias(k) for a, k in zip(g, keys)],
                          F.col("_b").cast(dtype).alias(alias))
