@@ -7,7 +7,8 @@
 * A stream *record*, as a stream source yields it: the row JSON as binary
   ``data`` next to its ``partitionKey``.
 
-Decoding is one function for batch and streaming frames.
+NULL fields are written as ``null`` (as a JSON encoder of the row would), not
+dropped. Decoding is one function for batch and streaming frames.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def encode_rest(df: DataFrame) -> Column:
     """REST body of one row: ``{"records":[{"value": row}]}``."""
     records = F.array(F.struct(_row(df).alias("value")))
     return F.to_json(F.struct(records.alias("records")),
-                     {"timestampFormat": REST_TIMESTAMP_FORMAT})
+                     {"timestampFormat": REST_TIMESTAMP_FORMAT, "ignoreNullFields": "false"})
 
 
 def encode_stream(df: DataFrame, stream_name: str, partition_key: Column | None = None) -> Column:
@@ -39,12 +40,12 @@ def encode_stream(df: DataFrame, stream_name: str, partition_key: Column | None
     key = partition_key if partition_key is not None else F.col(df.columns[0]).cast("string")
     body = F.struct(F.lit(stream_name).alias("StreamName"), _row(df).alias("Data"),
                     key.alias("PartitionKey"))
-    return F.to_json(body, {"timestampFormat": STREAM_TIMESTAMP_FORMAT})
+    return F.to_json(body, {"timestampFormat": STREAM_TIMESTAMP_FORMAT, "ignoreNullFields": "false"})
 
 
 def row_json(df: DataFrame, timestamp_format: str = STREAM_TIMESTAMP_FORMAT) -> Column:
     """The row alone as JSON text."""
-    return F.to_json(_row(df), {"timestampFormat": timestamp_format})
+    return F.to_json(_row(df), {"timestampFormat": timestamp_format, "ignoreNullFields": "false"})
 
 
 def rest_schema(row: T.StructType) -> T.StructType:

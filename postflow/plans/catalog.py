@@ -181,3 +181,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: sql for k, (_, sql) in REGISTRY.items() if sql is not None}
+
+
+# Further keys register themselves on import.
+from postflow.plans import operator_keys  # noqa: E402,F401

@@ -55,9 +55,9 @@ user_raw AS (
   FROM d WHERE k % 23 <> 0
 )"""
 
-# Placeholder nulling and suffix expansion of posts, before any dedup.
+# Placeholder nulling and suffix expansion of posts.
 _POSTS_STEPS = """
-posts_nulled AS (
+{name}_nulled AS (
   SELECT "index", unique_id,
          CASE WHEN regexp_matches(title, '(^$|No Title Data Available)') THEN NULL ELSE title END AS title,
          CASE WHEN regexp_matches(description, '(No description available|Untitled)') THEN NULL
@@ -83,13 +83,19 @@ posts_nulled AS (
          regexp_replace(save_location, 'Local save in ', '', 'g') AS save_location,
          CAST(downloaded AS BOOLEAN) AS downloaded,
          category
-  FROM posts_nulled
+  FROM {name}_nulled
 )"""
 
+def posts_ctes(src: str, name: str) -> str:
+    """Two CTEs: ``<name>_nulled`` (placeholders nulled, raw types) and
+    ``<name>`` (clean posts) over the raw rows of ``src``."""
+    return _POSTS_STEPS.format(src=src, name=name).strip("\n")
+
+
 CLEAN = ",\n".join([
     FEEDS,
     "posts_dedup AS (SELECT DISTINCT * FROM posts_raw)",
-    _POSTS_STEPS.format(src="posts_dedup", name="posts").strip("\n"),
+    posts_ctes("posts_dedup", "posts"),
     """geo AS (
   SELECT CAST(ind AS INTEGER) AS ind, country,
          [CAST(latitude AS FLOAT), CAST(longitude AS FLOAT)] AS coordinates,
@@ -113,10 +119,33 @@ POSTS_COLS = ("ind, unique_id, title, description, follower_count, poster_name,
               "is_image_or_video, image_src, save_location, downloaded, category")
 
 
+GEO_TYPED = """geo_typed AS (
+  SELECT ind, TRY_STRPTIME("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", latitude, longitude, country
+  FROM geo_raw
+)"""
+USERS_TYPED = """users_typed AS (
+  SELECT CAST(ind AS INTEGER) AS ind, first_name, last_name, CAST(age AS INTEGER) AS age,
+         TRY_STRPTIME(date_joined, '%Y-%m-%d %H:%M:%S') AS date_joined
+  FROM user_raw
+)"""
+GEO_NODEDUP = """geo_nodedup AS (
+  SELECT CAST(ind AS INTEGER) AS ind, country,
+         [CAST(latitude AS FLOAT), CAST(longitude AS FLOAT)] AS coordinates,
+         TRY_STRPTIME("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp"
+  FROM geo_raw
+)"""
+USERS_NODEDUP = """users_nodedup AS (
+  SELECT CAST(ind AS INTEGER) AS ind, first_name || ' ' || last_name AS user_name,
+         CAST(age AS INTEGER) AS age,
+         TRY_STRPTIME(date_joined, '%Y-%m-%d %H:%M:%S') AS date_joined
+  FROM user_raw
+)"""
+
+
 def with_clean(body: str) -> str:
     return f"WITH {CLEAN.strip()}\n{body.strip()}"
 
 
-def with_feeds(body: str, extra: str = "") -> str:
-    parts = [FEEDS.strip()] + ([extra.strip()] if extra else [])
+def with_feeds(body: str, *extra: str) -> str:
+    parts = [FEEDS.strip()] + [e.strip() for e in extra if e]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()

@@ -127,5 +127,19 @@ def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_FEEDS = {"posts": posts_raw, "geo": geo_raw, "users": users_raw}
 
 
+def source_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """Rows of ``feed`` typed as the source database holds them (int keys,
+    timestamps as timestamps): what a stream producer serialises."""
+    raw = RAW_FEEDS[feed](spark, sf_dir)
+    fmt = F.lit("yyyy-MM-dd HH:mm:ss")
+    if feed == "posts":
+        return raw.withColumn("index", F.col("index").cast("int"))
+    if feed == "geo":
+        return raw.withColumns({"ind": F.col("ind").cast("int"),
+                                "timestamp": F.try_to_timestamp("timestamp", fmt)})
+    return raw.withColumns({"ind": F.col("ind").cast("int"), "age": F.col("age").cast("int"),
+                            "date_joined": F.try_to_timestamp("date_joined", fmt)})
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in RAW_FEEDS.items()}
