@@ -54,7 +54,7 @@ def expand_suffix(c: Column, suffixes: dict = FOLLOWER_SUFFIXES, mode: str = "co
     """Suffixed count text (``12k``, ``3M``) to int.
 
     ``compat``: a value ending in a suffix has *every* occurrence of it replaced
-    by its zeros (``kk12k`` -> ``000000120000``), then the text is cast
+    by its zeros (``kk12k`` -> ``00000012000``), then the text is cast
     (``1.2k`` -> ``1.2000`` -> 1). ``exact``: the number before the suffix is
     multiplied out (``1.2k`` -> 1200); anything else must parse as is.
     """
