@@ -69,3 +69,16 @@ def decode_json(df: DataFrame, schema: T.StructType, column: str = "data",
     text = F.col(column).cast("string")
     parsed = F.from_json(text, schema).alias("_parsed")
     return df.select(*(keep or []), parsed).select(*(keep or []), "_parsed.*")
+
+
+CORRUPT = "_corrupt_record"
+
+
+def decode_json_checked(df: DataFrame, schema: T.StructType, column: str = "data",
+                        keep: list[str] | None = None) -> DataFrame:
+    """Like ``decode_json`` plus ``_corrupt_record``: the raw text of a record
+    that did not parse or had a field of the wrong type (NULL otherwise)."""
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    text = F.col(column).cast("string")
+    parsed = F.from_json(text, full, {"columnNameOfCorruptRecord": CORRUPT}).alias("_parsed")
+    return df.select(*(keep or []), parsed).select(*(keep or []), "_parsed.*")

@@ -249,3 +249,33 @@ def _envelope_roundtrip_users(spark, sf):
     env = rows.select(encode_stream(rows, "users-stream").alias("body"))
     return decode_json(env, stream_schema(USERS_STREAM), "body").select("Data.*") \
         .select("ind", "first_name", "last_name", "age", "date_joined")
+
+
+# --------------------------------------------------------------------------- aligned replay sample
+
+_SAMPLE = dict(fraction=1.0, seed=100, copies=3)
+
+
+def _sample_sql() -> str:
+    from postflow.operators.sampling import draw_threshold
+    lim = draw_threshold(_SAMPLE["fraction"], _SAMPLE["copies"])
+    seed = _SAMPLE["seed"]
+    trials = " + ".join(
+        f"CASE WHEN ('0x' || substr(md5('{seed}:' || CAST(ind AS VARCHAR) || ':{t}'), 1, 8))::BIGINT < {lim} "
+        f"THEN 1 ELSE 0 END" for t in range(1, _SAMPLE["copies"] + 1))
+    return with_clean(f"""
+SELECT s.ind, s.draw, s.category, g.country, u.user_name FROM (
+  SELECT p.ind, p.category, d.draw
+  FROM (SELECT ind, category, {trials} AS n FROM posts) p
+  JOIN range(1, {_SAMPLE["copies"] + 1}) d(draw) ON d.draw <= p.n) s
+LEFT JOIN geo g ON s.ind = g.ind
+LEFT JOIN users u ON s.ind = u.ind""")
+
+
+@register("replay_sample", _sample_sql())
+def _replay_sample(spark, sf):
+    from postflow.operators.sampling import replay_sample
+    return replay_sample(posts(spark, sf).select("ind", "category"),
+                         [geo(spark, sf).select("ind", "country"),
+                          users(spark, sf).select("ind", "user_name")], **_SAMPLE) \
+        .select("ind", "draw", "category", "country", "user_name")

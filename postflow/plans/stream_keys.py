@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postflow.operators.clean import clean_posts
-from postflow.plans.catalog import posts, register
+from postflow.plans import questions as Q
+from postflow.plans.catalog import _COUNTS_BY_COUNTRY, posts, register
 from postflow.plans.oracle import (
     GEO_NODEDUP, POSTS_COLS, USERS_NODEDUP, posts_ctes, with_clean, with_feeds,
 )
@@ -20,8 +21,8 @@ from postflow.session import shared_dir
 from postflow.sources.files import read_table, read_topic, read_stream, write_topic
 from postflow.sources.fixtures import posts_raw, source_rows
 from postflow.streaming.pipeline import (
-    RECORD_SCHEMA, clean_records, decode_records, land_records, read_appended, run_feeds,
-    start_append,
+    RECORD_SCHEMA, clean_records, decode_records, dedup_records, land_records, read_appended,
+    run_feeds, start_append,
 )
 
 NULLED = posts_ctes("posts_raw", "pr")
@@ -35,11 +36,13 @@ def _land(spark, sf, feed):
     return root, landing
 
 
-def _stream(spark, sf, feed, decode_only=False, replays=1):
+def _stream(spark, sf, feed, decode_only=False, replays=1, dedup_delay=None):
     root, landing = _land(spark, sf, feed)
     table = f"{root}/table"
     for i in range(replays):
         src = read_stream(spark, landing, RECORD_SCHEMA)
+        if dedup_delay:
+            src = dedup_records(src, dedup_delay)
         out = decode_records(src, feed) if decode_only else clean_records(src, feed)
         start_append(out, table, f"{root}/checkpoint-{i}").awaitTermination()
     return read_appended(spark, table)
@@ -109,3 +112,23 @@ def _scan_table(spark, sf):
     path = f"{shared_dir(spark, 'tables')}/posts"
     posts(spark, sf).write.mode("overwrite").parquet(path)
     return read_table(spark, path, "parquet")
+
+
+@register("stream_dedup_posts", with_clean(f"SELECT {POSTS_COLS} FROM posts"))
+def _stream_dedup_posts(spark, sf):
+    return _stream(spark, sf, "posts", dedup_delay="1 hour")
+
+
+@register("top_category_by_country_from_streams", with_clean(f"""
+SELECT country, category, category_count FROM (
+  SELECT *, rank() OVER (PARTITION BY country ORDER BY category_count DESC) AS rnk
+  FROM ({_COUNTS_BY_COUNTRY}) cc) t
+WHERE rnk = 1"""))
+def _top_category_by_country_from_streams(spark, sf):
+    feeds = {}
+    for feed in ("posts", "geo"):
+        root, landing = _land(spark, sf, feed)
+        feeds[feed] = (landing, f"{root}/table", f"{root}/checkpoint")
+    run_feeds(spark, feeds, dedup_delay="1 hour")
+    return Q.top_category_by_country(read_appended(spark, feeds["posts"][1]),
+                                     read_appended(spark, feeds["geo"][1]))

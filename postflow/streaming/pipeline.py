@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postflow.functions.envelope import STREAM_TIMESTAMP_FORMAT, decode_json
+from postflow.functions.envelope import CORRUPT, decode_json, decode_json_checked, row_json
 from postflow.operators.clean import CLEANERS
 from postflow.schemas import STREAM
 from postflow.sources.files import read_stream
@@ -32,6 +32,7 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("streamName", T.StringType(), True),
     T.StructField("partitionKey", T.StringType(), True),
     T.StructField("data", T.BinaryType(), True),
+    T.StructField("arrivalTimestamp", T.TimestampType(), True),
 ])
 SINK_PARTITIONS = ("run", "batch")
 
@@ -41,10 +42,9 @@ def to_records(df: DataFrame, stream_name: str, partition_key: Column | None = N
     binary ``data``, keyed by the first column unless ``partition_key`` is given
     (a constant key would put a whole stream on one shard)."""
     key = partition_key if partition_key is not None else F.col(df.columns[0]).cast("string")
-    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]),
-                    {"timestampFormat": STREAM_TIMESTAMP_FORMAT, "ignoreNullFields": "false"})
     return df.select(F.lit(stream_name).alias("streamName"), key.alias("partitionKey"),
-                     F.encode(row, "UTF-8").alias("data"))
+                     F.encode(row_json(df), "UTF-8").alias("data"),
+                     F.current_timestamp().alias("arrivalTimestamp"))
 
 
 def land_records(df: DataFrame, path: str, stream_name: str, fmt: str = "parquet",
@@ -58,6 +58,14 @@ def decode_records(df: DataFrame, feed: str, keep: list[str] | None = None) -> D
     return decode_json(df, STREAM[feed], "data", keep)
 
 
+def dedup_records(df: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Drop repeated records (same key and payload bytes) that arrive within
+    ``delay`` of each other. The state per record is dropped once the arrival
+    watermark passes it, so state stays bounded on an endless stream."""
+    return (df.withWatermark("arrivalTimestamp", delay)
+              .dropDuplicatesWithinWatermark(["partitionKey", "data"]))
+
+
 def clean_records(df: DataFrame, feed: str) -> DataFrame:
     """Decode and clean without dedup or sort (both need state or a full view)."""
     return CLEANERS[feed](decode_records(df, feed), dedup="none")
@@ -102,23 +110,60 @@ def read_appended(spark: SparkSession, table_path: str, fmt: str = "parquet") ->
     return df.drop(*[c for c in SINK_PARTITIONS if c in df.columns])
 
 
+def start_quarantined(records: DataFrame, feed: str, table_path: str, quarantine_path: str,
+                      checkpoint: str, trigger: str | None = "availableNow",
+                      fmt: str = "parquet") -> StreamingQuery:
+    """Decode with a corrupt-record column; clean and append the good records
+    to ``table_path`` and keep the raw text of the bad ones (undecodable, a
+    field of the wrong type, or no payload) in ``quarantine_path``. Both writes
+    are per-batch overwrites, idempotent under retries."""
+    decoded = decode_json_checked(records, STREAM[feed], "data",
+                                  keep=["partitionKey", "arrivalTimestamp", "data"])
+    bad = F.col(CORRUPT).isNotNull() | F.col("data").isNull()
+    run = _run_id(checkpoint)
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            good = batch.where(~bad).drop(CORRUPT, "partitionKey", "arrivalTimestamp", "data")
+            CLEANERS[feed](good, dedup="none").write.mode("overwrite").format(fmt) \
+                .save(f"{table_path}/run={run}/batch={epoch}")
+            batch.where(bad).select("partitionKey", "arrivalTimestamp",
+                                    F.col("data").cast("string").alias("payload")) \
+                .write.mode("overwrite").format(fmt).save(f"{quarantine_path}/run={run}/batch={epoch}")
+        finally:
+            batch.unpersist()
+
+    writer = decoded.writeStream.option("checkpointLocation", checkpoint)
+    if trigger == "availableNow":
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.foreachBatch(write_batch).start()
+
+
 def start_feed(spark: SparkSession, feed: str, landing: str, table_path: str, checkpoint: str,
                starting: str = "earliest", trigger: str | None = "availableNow",
-               fmt: str = "parquet") -> StreamingQuery:
-    """One feed: record stream at ``landing`` -> decode -> clean -> append."""
+               fmt: str = "parquet", dedup_delay: str | None = None,
+               quarantine_path: str | None = None) -> StreamingQuery:
+    """One feed: record stream at ``landing`` -> [dedup] -> decode -> clean -> append."""
     src = read_stream(spark, landing, RECORD_SCHEMA, fmt=fmt, starting=starting)
-    return start_append(clean_records(src, feed), table_path, checkpoint,
-                        trigger=trigger, query_name=None)
+    if dedup_delay:
+        src = dedup_records(src, dedup_delay)
+    if quarantine_path:
+        return start_quarantined(src, feed, table_path, quarantine_path, checkpoint, trigger, fmt)
+    return start_append(clean_records(src, feed), table_path, checkpoint, trigger=trigger)
 
 
 def run_feeds(spark: SparkSession, feeds: dict[str, tuple[str, str, str]],
-              trigger: str | None = "availableNow") -> dict[str, StreamingQuery]:
+              trigger: str | None = "availableNow", dedup_delay: str | None = None
+              ) -> dict[str, StreamingQuery]:
     """Start independent queries, one checkpoint each: ``{feed: (landing,
     table, checkpoint)}``. With ``availableNow`` they are awaited here."""
     checkpoints = [c for _, _, c in feeds.values()]
     if len(set(checkpoints)) != len(checkpoints):
         raise ValueError("every stream needs its own checkpoint")
-    started = {f: start_feed(spark, f, land, table, ckpt, trigger=trigger)
+    started = {f: start_feed(spark, f, land, table, ckpt, trigger=trigger, dedup_delay=dedup_delay)
                for f, (land, table, ckpt) in feeds.items()}
     if trigger == "availableNow":
         for q in started.values():

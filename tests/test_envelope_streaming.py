@@ -141,3 +141,21 @@ def test_three_feeds(spark, workdir):
     assert g[0].coordinates == [1.5, -2.25] and g[0].timestamp == datetime(2019, 3, 4, 5, 6, 7)
     u = read_appended(spark, feeds["users"][1]).collect()[0]
     assert u.user_name == "A B" and u.age == 20
+
+
+def test_quarantine_and_dedup(spark, workdir):
+    from postflow.streaming.pipeline import start_feed
+    landing, table, bad = f"{workdir}/landing", f"{workdir}/table", f"{workdir}/bad"
+    rows = _posts_rows(spark, 3)
+    land_records(rows.unionAll(rows), landing, "posts-stream")          # every record twice
+    broken = spark.createDataFrame([("k1", b"not json"), ("k2", b'{"index": "7"}'), ("k3", None)],
+                                   "partitionKey string, data binary") \
+        .selectExpr("'posts-stream' AS streamName", "partitionKey", "data",
+                    "current_timestamp() AS arrivalTimestamp")
+    broken.write.mode("append").parquet(landing)
+    start_feed(spark, "posts", landing, table, f"{workdir}/ck", dedup_delay="1 hour",
+               quarantine_path=bad).awaitTermination()
+    assert sorted(r.ind for r in read_appended(spark, table).collect()) == [0, 1, 2]
+    q = read_appended(spark, bad).collect()
+    assert sorted(r.partitionKey for r in q) == ["k1", "k2", "k3"]
+    assert {r.partitionKey: r.payload for r in q}["k1"] == "not json"
