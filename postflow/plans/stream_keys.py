@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from postflow.operators.clean import clean_posts
 from postflow.plans import questions as Q
-from postflow.plans.catalog import _COUNTS_BY_COUNTRY, posts, register
+from postflow.plans.catalog import _COUNTS_BY_COUNTRY, REGISTRY, posts, register
 from postflow.plans.oracle import (
     GEO_NODEDUP, POSTS_COLS, USERS_NODEDUP, posts_ctes, with_clean, with_feeds,
 )
@@ -132,3 +132,31 @@ def _top_category_by_country_from_streams(spark, sf):
     run_feeds(spark, feeds, dedup_delay="1 hour")
     return Q.top_category_by_country(read_appended(spark, feeds["posts"][1]),
                                      read_appended(spark, feeds["geo"][1]))
+
+
+# --------------------------------------------------------------------------- stored clean tables
+
+def _stored(spark, sf, feeds=("posts", "geo", "users"), buckets=8):
+    from postflow.plans.catalog import geo, users
+    from postflow.sources.tables import load_clean, store_clean
+    make = {"posts": posts, "geo": geo, "users": users}
+    stored = store_clean({f: make[f](spark, sf) for f in feeds}, shared_dir(spark, "clean"), buckets)
+    return load_clean(spark, stored)
+
+
+@register("top_category_by_country_stored", with_clean(f"""
+SELECT country, category, category_count FROM (
+  SELECT *, rank() OVER (PARTITION BY country ORDER BY category_count DESC) AS rnk
+  FROM ({_COUNTS_BY_COUNTRY}) cc) t
+WHERE rnk = 1"""))
+def _top_category_by_country_stored(spark, sf):
+    t = _stored(spark, sf, ("posts", "geo"))
+    return Q.top_category_by_country(t["posts"], t["geo"])
+
+
+@register("median_followers_by_age_and_year_stored", REGISTRY["median_followers_by_age_and_year"][1])
+def _median_followers_by_age_and_year_stored(spark, sf):
+    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
+    t = _stored(spark, sf, ("posts", "users"))
+    return Q.median_followers_by_age_and_year(t["posts"], t["users"], FIXTURE_JOIN_YEARS,
+                                              exact=True, sorted_=True)
