@@ -35,16 +35,29 @@ def register(key: str, sql: str | None):
     return deco
 
 
+# Clean-frame plans per (application, folder). They are lazy plans, not data:
+# building one costs driver-side analysis only, so every query of a session
+# reuses them (each query still reads and cleans the tables in full).
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _plan(spark, sf, name, make):
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _PLANS:
+        _PLANS[key] = make()
+    return _PLANS[key]
+
+
 def posts(spark, sf):
-    return clean_posts(posts_raw(spark, sf))
+    return _plan(spark, sf, "posts", lambda: clean_posts(posts_raw(spark, sf)))
 
 
 def geo(spark, sf):
-    return clean_geo(geo_raw(spark, sf))
+    return _plan(spark, sf, "geo", lambda: clean_geo(geo_raw(spark, sf)))
 
 
 def users(spark, sf):
-    return clean_users(users_raw(spark, sf))
+    return _plan(spark, sf, "users", lambda: clean_users(users_raw(spark, sf)))
 
 
 # --------------------------------------------------------------------------- clean frames

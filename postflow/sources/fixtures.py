@@ -51,6 +51,18 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that arrives in fewer partitions than the cluster has
+    task slots (one file holding one row group), so the per-row work up to the
+    first shuffle runs in parallel. A table already split into many partitions
+    is returned unchanged. Hashing on a key keeps the spread deterministic when
+    a lost task is recomputed (round-robin would depend on row order)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⨝ customer ⨝ nation, with replayed copies; one row per record."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "_base")
@@ -60,8 +72,8 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), "o_orderkey")
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
