@@ -27,18 +27,16 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str | None = None, app: str = "postflow",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Create (or fetch) a session with the library defaults.
-
-    ``shuffle_partitions`` should be sized to the data: roughly
-    ``shuffle bytes / 128 MB`` on a cluster, the core count locally.
-    """
+                  input_bytes: int | None = None, slots: int | None = None,
+                  extra: dict | None = None) -> SparkSession:
+    """Create (or fetch) a session with the library defaults; with
+    ``input_bytes`` and ``slots`` the shuffle sizes come from ``sizing``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes and slots:
+        conf.update(sizing(input_bytes, slots))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -72,3 +70,31 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+def sizing(input_bytes: int, slots: int) -> dict[str, str]:
+    """Shuffle sizing from the input size and the cluster's task slots.
+
+    Target partition = input / (16 x slots), clamped to [64 KB, 256 MB]: at
+    100 TB on 8,000 slots that is 256 MB partitions; on a laptop-sized input
+    it keeps every core busy instead of letting AQE merge a few MB of shuffle
+    into one task. The initial partition count is one per 256 MB of input
+    (at least ``slots``, at most 100,000); AQE coalesces down from there.
+    """
+    kb, mb = 1024, 1024 * 1024
+    target = max(64 * kb, min(256 * mb, input_bytes // max(1, 16 * slots)))
+    parts = max(slots, min(100_000, -(-input_bytes // (256 * mb))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(max(64 * kb, target // 4)),
+        "spark.sql.files.maxPartitionBytes": str(max(8 * mb, min(256 * mb, 4 * target))),
+    }
+
+
+def folder_bytes(path: str) -> int:
+    """Total size of the files below a local folder (0 for remote paths)."""
+    total = 0
+    for dirpath, _, files in os.walk(path):
+        total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
+    return total
