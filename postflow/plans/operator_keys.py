@@ -279,3 +279,35 @@ def _replay_sample(spark, sf):
                          [geo(spark, sf).select("ind", "country"),
                           users(spark, sf).select("ind", "user_name")], **_SAMPLE) \
         .select("ind", "draw", "category", "country", "user_name")
+
+
+# --------------------------------------------------------------------------- approximate medians
+# The feeds' own definition of the median: percentile_approx with its default
+# accuracy (a mergeable sketch, rank error <= n / 10000). DuckDB has no
+# equivalent sketch, so these keys carry no oracle SQL; the exact keys above
+# are the checked ones and a unit test bounds the sketch's rank error.
+
+APPROXIMATE_KEYS = ("median_followers_by_age_approx", "median_followers_by_join_year_approx",
+                    "median_followers_by_age_and_year_approx")
+
+
+@register("median_followers_by_age_approx", None)
+def _median_followers_by_age_approx(spark, sf):
+    from postflow.plans import questions as Q
+    return Q.median_followers_by_age(posts(spark, sf), users(spark, sf), exact=False, sorted_=True)
+
+
+@register("median_followers_by_join_year_approx", None)
+def _median_followers_by_join_year_approx(spark, sf):
+    from postflow.plans import questions as Q
+    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
+    return Q.median_followers_by_join_year(posts(spark, sf), users(spark, sf), FIXTURE_JOIN_YEARS,
+                                           exact=False, sorted_=True)
+
+
+@register("median_followers_by_age_and_year_approx", None)
+def _median_followers_by_age_and_year_approx(spark, sf):
+    from postflow.plans import questions as Q
+    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
+    return Q.median_followers_by_age_and_year(posts(spark, sf), users(spark, sf), FIXTURE_JOIN_YEARS,
+                                              exact=False, sorted_=True)
