@@ -18,7 +18,7 @@ from postflow.plans.oracle import (
     AGE_GROUP_SQL, GEO_NODEDUP, GEO_TYPED, POSTS_COLS, USERS_NODEDUP, posts_ctes, with_clean,
     with_feeds,
 )
-from postflow.schemas import GEO_COLUMNS, POSTS_COLUMNS
+from postflow.schemas import POSTS_COLUMNS
 from postflow.sources.fixtures import geo_raw, posts_raw, source_rows, table, users_raw
 
 PLACEHOLDER_COLS = ["title", "description", "follower_count", "poster_name", "tag_list", "image_src"]
