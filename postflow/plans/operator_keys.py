@@ -311,3 +311,21 @@ def _median_followers_by_age_and_year_approx(spark, sf):
     from postflow.plans.catalog import FIXTURE_JOIN_YEARS
     return Q.median_followers_by_age_and_year(posts(spark, sf), users(spark, sf), FIXTURE_JOIN_YEARS,
                                               exact=False, sorted_=True)
+
+
+# --------------------------------------------------------------------------- salted joins
+# hot_rows=0 marks every key hot, so the whole join runs through the salted
+# path (replicated left rows, salted right rows) and is checked against SQL.
+
+@register("posts_geo_left_salted", with_clean(
+    f"SELECT p.*, {_GEO_OUT} FROM posts p LEFT JOIN geo g ON p.ind = g.ind"))
+def _posts_geo_left_salted(spark, sf):
+    from postflow.operators.joins import left_join
+    return left_join(posts(spark, sf), geo(spark, sf), "ind", skew="salt", hot_rows=0, buckets=8)
+
+
+@register("posts_users_left_salted", with_clean(
+    "SELECT p.*, u.user_name, u.age, u.date_joined FROM posts p LEFT JOIN users u ON p.ind = u.ind"))
+def _posts_users_left_salted(spark, sf):
+    from postflow.operators.joins import left_join
+    return left_join(posts(spark, sf), users(spark, sf), "ind", skew="salt", hot_rows=0, buckets=8)

@@ -110,3 +110,18 @@ def test_count_by_null_is_a_group(spark):
     df = spark.createDataFrame([("a",), (None,), (None,)], "g string")
     got = {r.g: r.n for r in count_by(df, ["g"], "n").collect()}
     assert got == {"a": 1, None: 2}
+
+
+join_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3)), max_size=40)
+
+
+@SETTINGS
+@given(left=join_rows, right=join_rows, hot=st.integers(0, 3))
+def test_salted_left_join_is_exact(spark, left, right, hot):
+    from postflow.operators.joins import left_join
+    lf = spark.createDataFrame(left, "k int, a int")
+    rf = spark.createDataFrame(right, "k int, b int")
+    plain = sorted(map(tuple, left_join(lf, rf, "k").collect()), key=repr)
+    salted = left_join(lf, rf, "k", skew="salt", hot_rows=hot, buckets=3)
+    assert salted.columns == ["k", "a", "b"]
+    assert sorted(map(tuple, salted.collect()), key=repr) == plain
