@@ -57,3 +57,27 @@ def test_hot_key_on_right_side_is_salted(spark):
         assert "explode" in plan.lower()                  # hot rows went through the salted join
         assert salted.where("ind = 7").count() == N // 3 + 1
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_dedup_merges_copies_before_the_shuffle(spark):
+    """A third of the rows are copies of one record: the dedup aggregate runs a
+    map-side step before its exchange, so the copies leave each task once."""
+    from postflow.operators.clean import clean_posts
+    from postflow.schemas import POSTS_RAW
+    copy = (1, "u1", "t", "d", "p", "12k", "a", "image", "s", 1, "Local save in /x", "c")
+    rows = [copy] * 300 + [(i, f"u{i}", "t", "d", "p", "5", "a", "image", "s", 1, "x", "c") for i in range(2, 602)]
+    out = clean_posts(spark.createDataFrame(rows, POSTS_RAW))
+    plan = final_plan(out)
+    agg_lines = [i for i, line in enumerate(plan.splitlines()) if "HashAggregate" in line]
+    exch_lines = [i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in line]
+    assert len(agg_lines) >= 2 and any(agg_lines[0] < e < agg_lines[-1] for e in exch_lines)
+    assert out.count() == 601
+
+
+def test_top_per_group_limits_before_the_shuffle(spark):
+    from postflow.operators.ranking import top_per_group
+    df = hot(spark).select(F.when(F.col("ind") == 7, "hot").otherwise("cold").alias("g"), "v")
+    top = top_per_group(df, ["g"], "v")
+    plan = final_plan(top)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert sorted((r.g, r.v) for r in top.collect()) == [("cold", N - 1), ("hot", N - 3)]
