@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postflow.functions.cleaning import AGE_GROUPS, AGE_OTHER, age_group, age_group_order
+from postflow.operators.joins import null_safe_on
 
 # Bit shifts of the histogram passes per integral type: each pass narrows the
 # candidates to one bucket of 2**16 values.
@@ -64,14 +65,6 @@ def median_by(df: DataFrame, keys: list[str], col: str, alias: str = "median",
     return df.groupBy(*keys).agg(F.percentile_approx(col, 0.5, accuracy).alias(alias))
 
 
-def _on(left: list[str], right: list[str]):
-    cond = None
-    for a, b in zip(left, right):
-        c = F.col(a).eqNullSafe(F.col(b))
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
                       alias: str = "quantile") -> DataFrame:
     """Exact lower ``q``-quantile of an integral column per group: the value at
@@ -118,7 +111,7 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
         t = [f"_t{i}" for i in range(len(g))]
         pick = chosen.select(*[F.col(a).alias(x) for a, x in zip(g, t)],
                              F.col("_b").alias("_pb"), F.col("_r").alias("_pr"))
-        inside = hist.join(pick, _on(g, t) & bucket(prev).eqNullSafe(F.col("_pb")), "inner")
+        inside = hist.join(pick, null_safe_on(g, t) & bucket(prev).eqNullSafe(F.col("_pb")), "inner")
         inside = inside.select(*g, "_v", "_c", F.col("_pr").alias("_r"))
         if shift:
             level = inside.groupBy(*g, bucket(shift).alias("_b"), "_r").agg(F.sum("_c").alias("_bc"))

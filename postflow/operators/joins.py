@@ -24,6 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def null_safe_on(left_cols: list[str], right_cols: list[str]):
+    """``l1 <=> r1 AND l2 <=> r2 ...`` (NULL keys match each other)."""
+    cond = None
+    for a, b in zip(left_cols, right_cols):
+        c = F.col(a).eqNullSafe(F.col(b))
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows of ``df`` (partial count first)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)

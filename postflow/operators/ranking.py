@@ -23,13 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _null_safe_on(left_cols: list[str], right_cols: list[str]):
-    cond = None
-    for a, b in zip(left_cols, right_cols):
-        c = F.col(a).eqNullSafe(F.col(b))
-        cond = c if cond is None else cond & c
-    return cond
+from postflow.operators.joins import null_safe_on
 
 
 def top_per_group(df: DataFrame, keys: list[str], order_col: str, k: int = 1,
@@ -45,11 +39,15 @@ def top_per_group(df: DataFrame, keys: list[str], order_col: str, k: int = 1,
     if strategy == "join":
         if k != 1 or not ties:
             raise ValueError("the join plan computes k=1 with ties only")
-        agg = F.max if descending else F.min
+        v = F.col(order_col)
+        # rank 1 = the largest value (NULLs last) or, ascending, NULL if the
+        # group has any NULL (NULLs first), else the smallest value
+        best_v = F.max(v) if descending else \
+            F.when(F.count_if(v.isNull()) > 0, F.lit(None)).otherwise(F.min(v))
         bk = [f"_top_k{i}" for i in range(len(keys))]
-        best = df.groupBy(*keys).agg(agg(order_col).alias("_top_v")) \
+        best = df.groupBy(*keys).agg(best_v.alias("_top_v")) \
                  .select(*[F.col(c).alias(b) for c, b in zip(keys, bk)], "_top_v")
-        on = _null_safe_on(keys + [order_col], bk + ["_top_v"])
+        on = null_safe_on(keys + [order_col], bk + ["_top_v"])
         return df.join(best, on, "left_semi")
     if strategy != "window":
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -19,27 +19,30 @@ rows_st = st.lists(
     min_size=0, max_size=60)
 
 
-def brute_top(rows):
-    best = {}
-    for g, v in rows:
-        if v is not None:
-            best[g] = max(best.get(g, v), v)
-    keep = []
+def brute_top(rows, descending=True):
+    """rank() = 1 rows: NULLs sort last descending, first ascending."""
+    groups = {}
     for g, v in rows:
-        if g not in best:          # every value NULL: all rows tie at rank 1
-            keep.append((g, v))
-        elif v == best[g]:
-            keep.append((g, v))
-    return sorted(keep, key=repr)
+        groups.setdefault(g, []).append(v)
+    best = {}
+    for g, vs in groups.items():
+        vals = [v for v in vs if v is not None]
+        if descending:
+            best[g] = max(vals) if vals else None
+        else:
+            best[g] = None if len(vals) < len(vs) else min(vals)
+    return sorted([(g, v) for g, v in rows if v == best[g]], key=repr)
 
 
 @SETTINGS
 @given(rows=rows_st)
 def test_top_per_group_matches_rank_semantics(spark, rows):
     df = spark.createDataFrame(rows, "g string, v int")
-    for strategy in ("window", "join"):
-        got = sorted([tuple(r) for r in top_per_group(df, ["g"], "v", strategy=strategy).collect()], key=repr)
-        assert got == brute_top(rows), strategy
+    for descending in (True, False):
+        want = brute_top(rows, descending)
+        for strategy in ("window", "join"):
+            got = top_per_group(df, ["g"], "v", strategy=strategy, descending=descending).collect()
+            assert sorted(map(tuple, got), key=repr) == want, (strategy, descending)
 
 
 def test_top_per_group_all_null_group_keeps_all(spark):
