@@ -160,3 +160,25 @@ def _median_followers_by_age_and_year_stored(spark, sf):
     t = _stored(spark, sf, ("posts", "users"))
     return Q.median_followers_by_age_and_year(t["posts"], t["users"], FIXTURE_JOIN_YEARS,
                                               exact=True, sorted_=True)
+
+
+@register("scan_json_topic_inferred", with_clean(f"SELECT {POSTS_COLS} FROM posts"))
+def _scan_json_topic_inferred(spark, sf):
+    root = shared_dir(spark, "topics")
+    write_topic(posts_raw(spark, sf).withColumn("partition", F.lit(0)), f"{root}/posts",
+                partition_col="partition")
+    return clean_posts(read_topic(spark, f"{root}/posts", infer=True))
+
+
+@register("stream_latest_start_posts", with_feeds(f"SELECT {POSTS_COLS} FROM pr", NULLED))
+def _stream_latest_start_posts(spark, sf):
+    """Records landed before the stream starts are skipped; a later landing of
+    the whole feed is taken (once)."""
+    import time
+    root, landing = _land(spark, sf, "posts")
+    time.sleep(1.1)                                   # file times of the first landing < start
+    src = read_stream(spark, landing, RECORD_SCHEMA, starting="latest")
+    time.sleep(1.1)
+    land_records(source_rows(spark, sf, "posts"), landing, STREAM_NAMES["posts"])
+    start_append(clean_records(src, "posts"), f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return read_appended(spark, f"{root}/table")
