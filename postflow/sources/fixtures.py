@@ -57,10 +57,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     first shuffle runs in parallel. A table already split into many partitions
     is returned unchanged. Hashing on a key keeps the spread deterministic when
     a lost task is recomputed (round-robin would depend on row order)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()        # planning only: the scan's file splits
+    except Exception:                            # no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(slots, key)
+    return df if parts >= slots else df.repartition(slots, key)
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
