@@ -84,9 +84,11 @@ def top_poster_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "aut
 
 def country_with_top_poster(posts: DataFrame, geo: DataFrame, skew: str = "aqe") -> DataFrame:
     """The one country holding the most-followed poster; ties go to the first
-    country by name."""
-    top = top_poster_by_country(posts, geo, skew=skew)
-    return top_overall(top, "follower_count", ["country"]).select("country", "follower_count")
+    country by name. The overall first row of the per-poster maxima is always
+    rank 1 in its own country, so the per-country ranking step is not needed:
+    a top-1 over the maxima gives the same row without a window or its shuffle."""
+    per_poster = max_followers_by_poster(posts, geo, skew=skew)
+    return top_overall(per_poster, "follower_count", ["country"]).select("country", "follower_count")
 
 
 def _with_age_group(posts: DataFrame, users: DataFrame, cols: list[str], strict: bool,

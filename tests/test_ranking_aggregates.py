@@ -128,3 +128,19 @@ def test_salted_left_join_is_exact(spark, left, right, hot):
     salted = left_join(lf, rf, "k", skew="salt", hot_rows=hot, buckets=3)
     assert salted.columns == ["k", "a", "b"]
     assert sorted(map(tuple, salted.collect()), key=repr) == plain
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 30), st.sampled_from(["p", "q", "r", None]),
+                               st.one_of(st.none(), st.integers(0, 9)), st.sampled_from(["X", "Y", None])),
+                     min_size=1, max_size=30))
+def test_country_with_top_poster_equals_ranked_version(spark, rows):
+    from postflow.plans import questions as Q
+    posts = spark.createDataFrame([(i, p, f) for i, p, f, _ in rows],
+                                  "ind int, poster_name string, follower_count int").dropDuplicates(["ind"])
+    geo = spark.createDataFrame([(i, c) for i, _, _, c in rows], "ind int, country string") \
+        .dropDuplicates(["ind"])
+    direct = [tuple(r) for r in Q.country_with_top_poster(posts, geo).collect()]
+    ranked = top_overall(Q.top_poster_by_country(posts, geo), "follower_count", ["country"]) \
+        .select("country", "follower_count")
+    assert direct == [tuple(r) for r in ranked.collect()]
