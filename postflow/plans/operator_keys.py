@@ -264,7 +264,7 @@ def _sample_sql() -> str:
         f"CASE WHEN ('0x' || substr(md5('{seed}:' || CAST(ind AS VARCHAR) || ':{t}'), 1, 8))::BIGINT < {lim} "
         f"THEN 1 ELSE 0 END" for t in range(1, _SAMPLE["copies"] + 1))
     return with_clean(f"""
-SELECT s.ind, s.draw, s.category, g.country, u.user_name FROM (
+SELECT s.ind, CAST(s.draw AS INTEGER) AS draw, s.category, g.country, u.user_name FROM (
   SELECT p.ind, p.category, d.draw
   FROM (SELECT ind, category, {trials} AS n FROM posts) p
   JOIN range(1, {_SAMPLE["copies"] + 1}) d(draw) ON d.draw <= p.n) s

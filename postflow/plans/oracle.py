@@ -120,7 +120,7 @@ POSTS_COLS = ("ind, unique_id, title, description, follower_count, poster_name,
 
 
 GEO_TYPED = """geo_typed AS (
-  SELECT ind, TRY_STRPTIME("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", latitude, longitude, country
+  SELECT CAST(ind AS INTEGER) AS ind, TRY_STRPTIME("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", latitude, longitude, country
   FROM geo_raw
 )"""
 USERS_TYPED = """users_typed AS (
