@@ -27,13 +27,15 @@ def store_clean(frames: dict[str, DataFrame], root: str, buckets: int | None = N
     tag = uuid.uuid4().hex[:8]
     for name, df in frames.items():
         path = f"{root.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
         if buckets:
+            # one task per bucket (same hash as the bucketing), so each bucket is
+            # one file; without it every write task would emit a file per bucket
             table = f"{prefix}_{name}_{tag}"
-            writer.bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(table)
+            df.repartition(buckets, KEY).write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY) \
+                .option("path", path).saveAsTable(table)
             out[name] = table
         else:
-            writer.parquet(path)
+            df.write.mode("overwrite").parquet(path)
             out[name] = path
     return out
 

@@ -100,3 +100,10 @@ def test_store_clean_bucketed_join_has_no_exchange(spark, workdir):
         assert plain["posts"].count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_store_clean_writes_one_file_per_bucket(spark, workdir):
+    df = spark.range(5000).selectExpr("CAST(id AS INT) AS ind", "id % 7 AS category").repartition(9)
+    store_clean({"posts": df}, workdir, buckets=4)
+    files = [f for f in os.listdir(f"{workdir}/posts") if f.endswith(".parquet")]
+    assert len(files) == 4
