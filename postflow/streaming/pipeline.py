@@ -144,14 +144,15 @@ def start_quarantined(records: DataFrame, feed: str, table_path: str, quarantine
 
 def start_feed(spark: SparkSession, feed: str, landing: str, table_path: str, checkpoint: str,
                starting: str = "earliest", trigger: str | None = "availableNow",
-               fmt: str = "parquet", dedup_delay: str | None = None,
+               source_fmt: str = "parquet", dedup_delay: str | None = None,
                quarantine_path: str | None = None) -> StreamingQuery:
-    """One feed: record stream at ``landing`` -> [dedup] -> decode -> clean -> append."""
-    src = read_stream(spark, landing, RECORD_SCHEMA, fmt=fmt, starting=starting)
+    """One feed: record stream at ``landing`` -> [dedup] -> decode -> clean -> append
+    (Parquet tables)."""
+    src = read_stream(spark, landing, RECORD_SCHEMA, fmt=source_fmt, starting=starting)
     if dedup_delay:
         src = dedup_records(src, dedup_delay)
     if quarantine_path:
-        return start_quarantined(src, feed, table_path, quarantine_path, checkpoint, trigger, fmt)
+        return start_quarantined(src, feed, table_path, quarantine_path, checkpoint, trigger)
     return start_append(clean_records(src, feed), table_path, checkpoint, trigger=trigger)
 
 
