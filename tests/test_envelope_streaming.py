@@ -159,3 +159,19 @@ def test_quarantine_and_dedup(spark, workdir):
     q = read_appended(spark, bad).collect()
     assert sorted(r.partitionKey for r in q) == ["k1", "k2", "k3"]
     assert {r.partitionKey: r.payload for r in q}["k1"] == "not json"
+
+
+def test_append_until_stopped(spark, workdir):
+    """A processing-time trigger keeps appending new records until stopped."""
+    landing, table = f"{workdir}/landing", f"{workdir}/table"
+    land_records(_posts_rows(spark, 2), landing, "posts-stream")
+    src = read_stream(spark, landing, RECORD_SCHEMA)
+    q = start_append(clean_records(src, "posts"), table, f"{workdir}/ck", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        land_records(_posts_rows(spark, 3, start=10), landing, "posts-stream")
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert sorted(r.ind for r in read_appended(spark, table).collect()) == [0, 1, 10, 11, 12]

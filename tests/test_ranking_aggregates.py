@@ -144,3 +144,18 @@ def test_country_with_top_poster_equals_ranked_version(spark, rows):
     ranked = top_overall(Q.top_poster_by_country(posts, geo), "follower_count", ["country"]) \
         .select("country", "follower_count")
     assert direct == [tuple(r) for r in ranked.collect()]
+
+
+def test_sorted_outputs(spark):
+    """Mixed-direction and group-key sorts at the end of a question."""
+    from postflow.plans import questions as Q
+    posts = spark.createDataFrame([(1, "a", 5), (2, "a", 7), (3, "b", 1), (4, "b", 9), (5, "a", 3)],
+                                  "ind int, category string, follower_count int")
+    geo = spark.createDataFrame([(1, "Y"), (2, "Y"), (3, "X"), (5, "Y")], "ind int, country string")
+    rows = [tuple(r) for r in Q.category_counts_by_country(posts, geo, sorted_=True).collect()]
+    assert rows == [(None, "b", 1), ("X", "b", 1), ("Y", "a", 3)]
+    users = spark.createDataFrame([(1, 20, None), (2, 40, None), (3, 30, None), (4, 60, None)],
+                                  "ind int, age int, date_joined timestamp")
+    med = [tuple(r) for r in Q.median_followers_by_age(posts, users, sorted_=True).collect()]
+    assert [m[0] for m in med] == ["18-24", "25-35", "36-50", "50+"]
+    assert med == [("18-24", 5), ("25-35", 1), ("36-50", 7), ("50+", 3)]
