@@ -9,11 +9,12 @@ Medians come in two kinds:
 * approximate (the feed's own definition): ``percentile_approx`` with a
   mergeable sketch; rank error at most ``n / accuracy``;
 * exact lower median (the value at rank ``ceil(n/2)`` of the non-NULL values),
-  computed by histogram selection: a partial/final count per (group, value),
-  then per group a coarse pass over ``value >> 16`` buckets picks the bucket
-  holding the target rank and a fine pass inside it picks the value. Every
-  window partition holds at most 65,536 rows whatever the data size, and the
-  only full-data step is the pre-aggregated histogram.
+  computed by histogram selection: partial/final counts per (group, value) and,
+  side by side, per (group, ``value >> 16``) bucket; per group the coarse
+  counts pick the bucket holding the target rank and a fine pass over the
+  histogram rows inside it picks the value. Every window partition holds at
+  most 65,536 rows whatever the data size, and the only full-data steps are
+  the two pre-aggregated counts.
 """
 
 from __future__ import annotations
@@ -75,8 +76,8 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
     if shifts is None:
         raise TypeError(f"exact quantile needs an integral column, {col} is {dtype.simpleString()}")
     g = [f"_g{i}" for i in range(len(keys))]
-    hist = (df.select(*[F.col(k).alias(a) for k, a in zip(keys, g)], F.col(col).alias("_v"))
-              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    src = df.select(*[F.col(k).alias(a) for k, a in zip(keys, g)], F.col(col).alias("_v"))
+    hist = src.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
 
     def bucket(shift: int):
         return F.shiftright("_v", shift) if shift else F.col("_v")
@@ -97,7 +98,9 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
     # Pass 1: coarse buckets; NULL values form a NULL bucket that carries no rank.
     whole = Window.partitionBy(*g)
     n = F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(whole)
-    level = (hist.groupBy(*g, bucket(shifts[0]).alias("_b")).agg(F.sum("_c").alias("_bc"))
+    # counted from the rows themselves (not from ``hist``), so this pass and the
+    # histogram are independent stages that run side by side
+    level = (src.groupBy(*g, bucket(shifts[0]).alias("_b")).agg(F.count(F.lit(1)).alias("_bc"))
                  .withColumn("_n", n)
                  .withColumn("_r", F.when(F.col("_n") > 0,
                                           F.greatest(F.ceil(F.lit(q) * F.col("_n")), F.lit(1)))))
