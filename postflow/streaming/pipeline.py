@@ -176,3 +176,19 @@ def preview(df: DataFrame, name: str) -> StreamingQuery:
     """Live preview into an in-memory table ``name`` (small test streams only:
     the memory sink keeps every row on the driver)."""
     return df.writeStream.format("memory").queryName(name).outputMode("append").start()
+
+
+def compact_appended(spark: SparkSession, table_path: str, out_path: str,
+                     target_file_bytes: int = 256 * 1024 * 1024) -> int:
+    """Rewrite an appended table (one folder per micro-batch) into files of
+    about ``target_file_bytes`` at ``out_path``; returns the file count.
+
+    The size comes from the files' metadata, summed by Spark (one number
+    reaches the driver). Write to a new path and swap it in when no stream is
+    writing the old one; the rows are unchanged (the sink's bookkeeping
+    columns are dropped)."""
+    files = spark.read.parquet(table_path).select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = files.agg(F.sum("file_size").alias("b")).collect()[0].b or 0
+    n = max(1, -(-int(total) // target_file_bytes))
+    read_appended(spark, table_path).repartition(n).write.mode("overwrite").parquet(out_path)
+    return n

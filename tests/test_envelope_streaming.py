@@ -175,3 +175,17 @@ def test_append_until_stopped(spark, workdir):
     finally:
         q.stop()
     assert sorted(r.ind for r in read_appended(spark, table).collect()) == [0, 1, 10, 11, 12]
+
+
+def test_compact_appended(spark, workdir):
+    from postflow.streaming.pipeline import compact_appended
+    landing, table = f"{workdir}/landing", f"{workdir}/table"
+    for start in (0, 10, 20):                        # three landings -> three micro-batches
+        land_records(_posts_rows(spark, 2, start=start).coalesce(1), landing, "posts-stream")
+    src = read_stream(spark, landing, RECORD_SCHEMA, max_files_per_trigger=1)
+    start_append(clean_records(src, "posts"), table, f"{workdir}/ck").awaitTermination()
+    runs = os.listdir(table)
+    assert len([d for d in os.listdir(f"{table}/{runs[0]}") if d.startswith("batch=")]) == 3
+    assert compact_appended(spark, table, f"{workdir}/compact") == 1
+    got = sorted(r.ind for r in spark.read.parquet(f"{workdir}/compact").collect())
+    assert got == [0, 1, 10, 11, 20, 21]
