@@ -16,6 +16,10 @@ handles that case exactly:
   definition, so no left row of it can be unmatched and the union is exact.
 
 ``skew="aqe"`` (default) is the plain join, relying on AQE for the left side.
+The salted form costs one extra counting pass over the right side and splits
+both sides against the hot-key set (semi/anti joins, which the planner
+broadcasts when the set is small, as it is by construction); choose it where
+a key can hold a large share of the right side's rows.
 """
 
 from __future__ import annotations
