@@ -47,6 +47,24 @@ def to_records(df: DataFrame, stream_name: str, partition_key: Column | None = N
                      F.current_timestamp().alias("arrivalTimestamp"))
 
 
+def from_kafka(df: DataFrame) -> DataFrame:
+    """Kafka source rows (key, value, topic, timestamp, ...) -> the pipeline's
+    record columns, so every downstream step is the same as for file streams."""
+    return df.select(F.col("topic").alias("streamName"),
+                     F.col("key").cast("string").alias("partitionKey"),
+                     F.col("value").alias("data"),
+                     F.col("timestamp").alias("arrivalTimestamp"))
+
+
+def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
+               **options) -> DataFrame:
+    """Record stream from a Kafka topic (needs the Kafka connector on the
+    classpath). ``starting`` is Kafka's ``startingOffsets`` (earliest/latest)."""
+    df = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+          .option("subscribe", topic).option("startingOffsets", starting).options(**options).load())
+    return from_kafka(df)
+
+
 def land_records(df: DataFrame, path: str, stream_name: str, fmt: str = "parquet",
                  partition_key: Column | None = None) -> None:
     """Append rows as record files: the test stand-in for putting them on a stream."""

@@ -189,3 +189,16 @@ def test_compact_appended(spark, workdir):
     assert compact_appended(spark, table, f"{workdir}/compact") == 1
     got = sorted(r.ind for r in spark.read.parquet(f"{workdir}/compact").collect())
     assert got == [0, 1, 10, 11, 20, 21]
+
+
+def test_kafka_rows_map_to_records(spark):
+    from postflow.streaming.pipeline import from_kafka
+    payload = b'{"ind": 3, "latitude": 1.5, "longitude": 2.0, "timestamp": "2020-01-01T00:00:00", "country": "X"}'
+    kafka = spark.createDataFrame(
+        [(b"3", payload, "geo-stream", 0, 7, datetime(2024, 1, 1), 0)],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
+        "timestampType int")
+    recs = from_kafka(kafka)
+    assert recs.schema == RECORD_SCHEMA
+    row = clean_records(recs, "geo").collect()[0]
+    assert (row.ind, row.country, row.coordinates) == (3, "X", [1.5, 2.0])
