@@ -114,7 +114,9 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
         t = [f"_t{i}" for i in range(len(g))]
         pick = chosen.select(*[F.col(a).alias(x) for a, x in zip(g, t)],
                              F.col("_b").alias("_pb"), F.col("_r").alias("_pr"))
-        inside = hist.join(pick, null_safe_on(g, t) & bucket(prev).eqNullSafe(F.col("_pb")), "inner")
+        same_bucket = bucket(prev).eqNullSafe(F.col("_pb"))
+        on = same_bucket if not g else null_safe_on(g, t) & same_bucket
+        inside = hist.join(pick, on, "inner")
         inside = inside.select(*g, "_v", "_c", F.col("_pr").alias("_r"))
         if shift:
             level = inside.groupBy(*g, bucket(shift).alias("_b"), "_r").agg(F.sum("_c").alias("_bc"))

@@ -14,8 +14,8 @@ the first ``k`` (``rank()`` semantics: ties are all kept). Two plans:
   a group (ties included): a hot group reaches its final task as at most
   (map tasks x leaders) rows, not as its whole row set.
 
-``strategy="auto"`` takes ``"window"`` (fewer stages); ``"join"`` is kept for
-engines without the partial group limit.
+``strategy="auto"`` takes ``"window"`` (fewer stages), or ``"join"`` when there
+are no group keys (a window over no keys would put every row in one task).
 """
 
 from __future__ import annotations
@@ -35,7 +35,10 @@ def top_per_group(df: DataFrame, keys: list[str], order_col: str, k: int = 1,
     ``rank()`` does), so a group whose values are all NULL keeps every row.
     """
     if strategy == "auto":
-        strategy = "window"
+        strategy = "window" if keys else "join"
+    if not keys and strategy == "window":
+        # one window over all rows would run in a single task
+        raise ValueError("without group keys use strategy='join' (k=1) or top_overall")
     if strategy == "join":
         if k != 1 or not ties:
             raise ValueError("the join plan computes k=1 with ties only")

@@ -159,3 +159,17 @@ def test_sorted_outputs(spark):
     med = [tuple(r) for r in Q.median_followers_by_age(posts, users, sorted_=True).collect()]
     assert [m[0] for m in med] == ["18-24", "25-35", "36-50", "50+"]
     assert med == [("18-24", 5), ("25-35", 1), ("36-50", 7), ("50+", 3)]
+
+
+def test_exact_quantile_without_groups(spark):
+    df = spark.range(1, 1002).selectExpr("CAST((id * 7919) % 100003 AS INT) AS v")
+    vals = sorted(r.v for r in df.collect())
+    got = exact_quantile_by(df, [], "v", 0.5, "m").collect()
+    assert len(got) == 1 and got[0].m == vals[math.ceil(len(vals) / 2) - 1]
+
+
+def test_top_without_groups_keeps_ties(spark):
+    df = spark.createDataFrame([(1, 5), (2, 9), (3, 9), (4, None)], "id int, v int")
+    assert sorted(r.id for r in top_per_group(df, [], "v").collect()) == [2, 3]
+    with pytest.raises(ValueError):
+        top_per_group(df, [], "v", k=2, ties=False)
