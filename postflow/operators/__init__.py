@@ -4,7 +4,8 @@ from postflow.operators.aggregates import (
     bucketize, count_by, exact_quantile_by, max_by_group, median_by, year_between,
 )
 from postflow.operators.clean import (
-    clean_all, clean_geo, clean_posts, clean_users, expand_suffix_int, null_placeholders,
+    clean_all, clean_geo, clean_posts, clean_users, drop_identical_records, expand_suffix_int,
+    null_placeholders,
     split_column, strip_column, to_timestamp_column,
 )
 from postflow.operators.joins import hot_keys, left_join, null_safe_on
@@ -13,7 +14,7 @@ from postflow.operators.sampling import replay_sample
 
 __all__ = [
     "bucketize", "count_by", "exact_quantile_by", "max_by_group", "median_by", "year_between",
-    "clean_all", "clean_geo", "clean_posts", "clean_users", "expand_suffix_int",
+    "clean_all", "clean_geo", "clean_posts", "clean_users", "drop_identical_records", "expand_suffix_int",
     "null_placeholders", "split_column", "strip_column", "to_timestamp_column",
     "hot_keys", "left_join", "null_safe_on", "replay_sample", "top_overall", "top_per_group",
 ]

@@ -22,7 +22,7 @@ from postflow.functions.cleaning import (
     expand_suffix, join_name, null_if_matches, pack_array, parse_timestamp, split_list,
     strip_text, text_to_int,
 )
-from postflow.schemas import GEO_COLUMNS, POSTS_COLUMNS, USERS_COLUMNS
+from postflow.schemas import GEO_COLUMNS, POSTS_COLUMNS, RAW, USERS_COLUMNS
 
 DEDUP_MODES = ("raw", "clean", "none")
 
@@ -68,6 +68,16 @@ def _check(dedup: str) -> None:
         raise ValueError(f"dedup must be one of {DEDUP_MODES}, not {dedup!r}")
 
 
+def drop_identical_records(df: DataFrame, feed: str) -> DataFrame:
+    """Drop identical records. Identity is over the record's own fields (the
+    feed's raw schema); columns a reader adds — the topic partition from
+    partition discovery, file metadata, ``_corrupt_record`` — do not make two
+    copies of a record different (the cleaners drop them afterwards)."""
+    fields = [f.name for f in RAW[feed].fields if f.name in df.columns]
+    extra = [c for c in df.columns if c not in fields]
+    return df.dropDuplicates(fields) if extra and fields else df.dropDuplicates()
+
+
 def clean_posts(df: DataFrame, dedup: str = "raw", sort: bool = False,
                 suffix_mode: str = "compat") -> DataFrame:
     """Raw posts -> clean posts (``POSTS_COLUMNS``).
@@ -78,7 +88,7 @@ def clean_posts(df: DataFrame, dedup: str = "raw", sort: bool = False,
     """
     _check(dedup)
     if dedup == "raw":
-        df = df.dropDuplicates()
+        df = drop_identical_records(df, "posts")
     df = null_placeholders(df)
     df = df.withColumns({
         "follower_count": expand_suffix(F.col("follower_count"), mode=suffix_mode),
@@ -97,7 +107,7 @@ def clean_geo(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFram
     array, timestamp parsed."""
     _check(dedup)
     if dedup == "raw":
-        df = df.dropDuplicates()
+        df = drop_identical_records(df, "geo")
     df = to_timestamp_column(df, "timestamp")
     df = df.withColumns({
         "ind": text_to_int(F.col("ind"), _dtype(df, "ind")),
@@ -113,7 +123,7 @@ def clean_users(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFr
     """Raw users -> clean users (``USERS_COLUMNS``): names joined, timestamp parsed."""
     _check(dedup)
     if dedup == "raw":
-        df = df.dropDuplicates()
+        df = drop_identical_records(df, "users")
     df = to_timestamp_column(df, "date_joined")
     df = df.withColumns({
         "ind": text_to_int(F.col("ind"), _dtype(df, "ind")),

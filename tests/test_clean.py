@@ -80,3 +80,12 @@ def test_clean_users(spark):
     got = out.collect()
     assert got[0].user_name is None and got[0].age == 30
     assert got[1].user_name == "Bo Ng" and got[1].date_joined is None
+
+
+def test_raw_dedup_ignores_reader_columns(spark):
+    """The same record read from two topic partitions is one record."""
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(RAW[:1], POSTS_RAW)
+    two = df.withColumn("partition", F.lit(0)).unionByName(df.withColumn("partition", F.lit(1)))
+    assert clean_posts(two).count() == 1
+    assert clean_posts(two, dedup="none").count() == 2
