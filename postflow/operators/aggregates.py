@@ -53,9 +53,16 @@ def bucketize(df: DataFrame, col: str, name: str = "age_group", groups=AGE_GROUP
 
 
 def year_between(df: DataFrame, ts_col: str, lo: int, hi: int, name: str = "post_year") -> DataFrame:
-    """Add ``year(ts_col)`` as ``name`` and keep ``lo <= year <= hi``. The
-    filter is on the timestamp's year, so Catalyst pushes it below joins."""
-    return df.withColumn(name, F.year(ts_col)).where(F.col(name).between(lo, hi))
+    """Keep rows whose ``ts_col`` falls in the years ``lo``..``hi`` and add the
+    year as ``name``. The filter is the equivalent time range
+    ``lo-01-01 <= ts < (hi+1)-01-01`` with boundaries of the column's own type,
+    so Catalyst pushes it below joins and, on stored tables, into the Parquet
+    scan (row groups outside the range are skipped by their min/max)."""
+    dtype = df.schema[ts_col].dataType
+    start = F.lit(f"{lo:04d}-01-01 00:00:00").cast(dtype)
+    end = F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast(dtype)
+    ts = F.col(ts_col)
+    return df.where((ts >= start) & (ts < end)).withColumn(name, F.year(ts))
 
 
 def median_by(df: DataFrame, keys: list[str], col: str, alias: str = "median",
