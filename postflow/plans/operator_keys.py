@@ -210,10 +210,9 @@ def _clean_users_nodedup(spark, sf):
 
 # --------------------------------------------------------------------------- wire formats
 
-_REST_VALUE = ", ".join(f"'{c}', {c}" for c in
-                        ['"index"', "unique_id", "title", "description", "poster_name", "follower_count",
-                         "tag_list", "is_image_or_video", "image_src", "downloaded", "save_location",
-                         "category"]).replace("'\"index\"'", "'index'")
+_RAW_POST_FIELDS = ["index", "unique_id", "title", "description", "poster_name", "follower_count",
+                    "tag_list", "is_image_or_video", "image_src", "downloaded", "save_location", "category"]
+_REST_VALUE = ", ".join(f"'{c}', \"{c}\"" for c in _RAW_POST_FIELDS)
 
 
 @register("envelope_encode_rest", with_feeds(f"""
