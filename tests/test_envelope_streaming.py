@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postflow.functions.envelope import (
     decode_json, encode_rest, encode_stream, rest_schema, stream_schema,
 )
-from postflow.schemas import GEO_STREAM, POSTS_STREAM
+from postflow.schemas import GEO_STREAM
 from postflow.sources.files import read_stream
 from postflow.streaming.pipeline import (
     RECORD_SCHEMA, clean_records, decode_records, land_records, preview, read_appended, run_feeds,
