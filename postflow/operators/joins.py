@@ -24,10 +24,21 @@ a key can hold a large share of the right side's rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Salt:
+    """Settings of the salted join: keys with more than ``hot_rows`` right rows
+    are spread over ``buckets`` salts. ``skew=Salt(...)`` anywhere a ``skew``
+    mode is taken; ``skew="salt"`` means ``Salt()``."""
+    hot_rows: int = 1_000_000
+    buckets: int = 64
+
+
 def null_safe_on(left_cols: list[str], right_cols: list[str]):
     """``l1 <=> r1 AND l2 <=> r2 ...`` (NULL keys match each other)."""
     cond = None
@@ -42,13 +53,17 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, skew: str = "aqe",
-              hot_rows: int = 1_000_000, buckets: int = 64) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, key: str, skew: str | Salt = "aqe",
+              hot_rows: int | None = None, buckets: int | None = None) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (``key``)."""
     if skew == "aqe":
         return left.join(right, on=key, how="left")
-    if skew != "salt":
+    if skew == "salt":
+        skew = Salt()
+    if not isinstance(skew, Salt):
         raise ValueError(f"unknown skew mode {skew!r}")
+    hot_rows = skew.hot_rows if hot_rows is None else hot_rows
+    buckets = skew.buckets if buckets is None else buckets
     hot = hot_keys(right, key, hot_rows)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets)).cast("int")
     right_hot = right.join(hot, key, "left_semi").withColumn("_salt", salt)

@@ -26,7 +26,7 @@ from postflow.sources.tables import load_clean, store_clean
 
 
 def questions(t: dict[str, DataFrame], post_years=Q.POST_YEARS, join_years=Q.JOIN_YEARS,
-              exact: bool = False, skew: str = "aqe") -> dict[str, DataFrame]:
+              exact: bool = False, skew="aqe") -> dict[str, DataFrame]:
     p, g, u = t["posts"], t["geo"], t["users"]
     return {
         "category_counts_by_country": Q.category_counts_by_country(p, g, sorted_=True, skew=skew),
@@ -45,7 +45,7 @@ def questions(t: dict[str, DataFrame], post_years=Q.POST_YEARS, join_years=Q.JOI
 
 
 def run(spark: SparkSession, topics: str, out: str, buckets: int | None = None,
-        exact: bool = False, skew: str = "aqe", post_years=Q.POST_YEARS,
+        exact: bool = False, skew="aqe", post_years=Q.POST_YEARS,
         join_years=Q.JOIN_YEARS) -> dict[str, str]:
     """Clean, store, answer. Returns question -> result path."""
     raw = {f: read_topic(spark, f"{topics.rstrip('/')}/{f}", schema=RAW[f]) for f in CLEANERS}
@@ -65,10 +65,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--buckets", type=int, default=None)
     ap.add_argument("--exact", action="store_true", help="exact medians instead of the sketch")
-    ap.add_argument("--skew", default="aqe", choices=["aqe", "salt"])
+    ap.add_argument("--skew", default="aqe", choices=["aqe", "salt"],
+                    help="salt: spread keys that are hot on the geo/users side")
+    ap.add_argument("--hot-rows", type=int, default=1_000_000, help="rows that make a key hot")
+    ap.add_argument("--salt-buckets", type=int, default=64)
     a = ap.parse_args(argv)
+    from postflow.operators.joins import Salt
     from postflow.session import build_session
-    run(build_session(), a.topics, a.out, a.buckets, a.exact, a.skew)
+    skew = Salt(a.hot_rows, a.salt_buckets) if a.skew == "salt" else "aqe"
+    run(build_session(), a.topics, a.out, a.buckets, a.exact, skew)
 
 
 if __name__ == "__main__":

@@ -81,3 +81,21 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     plan = final_plan(top)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert sorted((r.g, r.v) for r in top.collect()) == [("cold", N - 1), ("hot", N - 3)]
+
+
+def test_questions_with_every_key_salted(spark):
+    """The questions give the same answers when every ind goes through the salted join."""
+    from postflow.operators.joins import Salt
+    from postflow.plans import catalog as C
+    from postflow.plans import questions as Q
+    sf = "/root/testdata/sf0.001"
+    p, g, u = C.posts(spark, sf), C.geo(spark, sf), C.users(spark, sf)
+    salt = Salt(hot_rows=0, buckets=4)
+    pairs = [
+        (Q.top_category_by_country(p, g), Q.top_category_by_country(p, g, skew=salt)),
+        (Q.top_poster_by_country(p, g), Q.top_poster_by_country(p, g, skew=salt)),
+        (Q.median_followers_by_age(p, u), Q.median_followers_by_age(p, u, skew=salt)),
+        (Q.joined_per_year(p, u, (1996, 2000)), Q.joined_per_year(p, u, (1996, 2000), skew=salt)),
+    ]
+    for plain, salted in pairs:
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, salted.collect()), key=repr)
