@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.operators.aggregates import bucketize, count_by, max_by_group, median_by, year_between
-from postflow.operators.joins import left_join
+from postflow.operators.joins import Salt, left_join
 from postflow.operators.ranking import top_overall, top_per_group
 
 # Year bounds of the questions as posed for the source feeds.
@@ -30,7 +30,7 @@ JOIN_YEARS = (2015, 2020)
 
 
 def posts_with(posts: DataFrame, other: DataFrame, keep_both_keys: bool = False,
-               skew: str = "aqe") -> DataFrame:
+               skew: str | Salt = "aqe") -> DataFrame:
     """Left join on ``ind``. ``keep_both_keys`` joins by expression and keeps
     the right key as well (two ``ind`` columns, the right one NULL when there
     is no match). ``skew="salt"`` salts keys that are hot on the right side
@@ -41,7 +41,7 @@ def posts_with(posts: DataFrame, other: DataFrame, keep_both_keys: bool = False,
 
 
 def category_counts_by_country(posts: DataFrame, geo: DataFrame, sorted_: bool = False,
-                               skew: str = "aqe") -> DataFrame:
+                               skew: str | Salt = "aqe") -> DataFrame:
     """Posts per (country, category) as ``category_count``."""
     j = posts_with(posts.select("ind", "category"), geo.select("ind", "country"), skew=skew)
     out = count_by(j, ["country", "category"], "category_count")
@@ -49,7 +49,7 @@ def category_counts_by_country(posts: DataFrame, geo: DataFrame, sorted_: bool =
 
 
 def top_category_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "auto",
-                            skew: str = "aqe") -> DataFrame:
+                            skew: str | Salt = "aqe") -> DataFrame:
     """Most frequent category per country (ties kept)."""
     counts = category_counts_by_country(posts, geo, skew=skew)
     return top_per_group(counts, ["country"], "category_count", strategy=strategy) \
@@ -57,7 +57,7 @@ def top_category_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "a
 
 
 def top_category_by_year(posts: DataFrame, geo: DataFrame, years=POST_YEARS,
-                         strategy: str = "auto", skew: str = "aqe") -> DataFrame:
+                         strategy: str = "auto", skew: str | Salt = "aqe") -> DataFrame:
     """Most frequent category per posting year within ``years`` (inclusive)."""
     j = posts_with(posts.select("ind", "category"), geo.select("ind", "timestamp"), skew=skew)
     j = year_between(j, "timestamp", *years)
@@ -66,7 +66,7 @@ def top_category_by_year(posts: DataFrame, geo: DataFrame, years=POST_YEARS,
         .select("post_year", "category", "category_count")
 
 
-def max_followers_by_poster(posts: DataFrame, geo: DataFrame, skew: str = "aqe") -> DataFrame:
+def max_followers_by_poster(posts: DataFrame, geo: DataFrame, skew: str | Salt = "aqe") -> DataFrame:
     """Largest follower count per (country, poster_name)."""
     j = posts_with(posts.select("ind", "poster_name", "follower_count"),
                    geo.select("ind", "country"), skew=skew)
@@ -74,7 +74,7 @@ def max_followers_by_poster(posts: DataFrame, geo: DataFrame, skew: str = "aqe")
 
 
 def top_poster_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "auto",
-                          skew: str = "aqe") -> DataFrame:
+                          skew: str | Salt = "aqe") -> DataFrame:
     """Poster(s) with the most followers per country. A country whose counts are
     all NULL returns every one of its posters."""
     per_poster = max_followers_by_poster(posts, geo, skew=skew)
@@ -82,7 +82,7 @@ def top_poster_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "aut
         .select("country", "poster_name", "follower_count")
 
 
-def country_with_top_poster(posts: DataFrame, geo: DataFrame, skew: str = "aqe") -> DataFrame:
+def country_with_top_poster(posts: DataFrame, geo: DataFrame, skew: str | Salt = "aqe") -> DataFrame:
     """The one country holding the most-followed poster; ties go to the first
     country by name. The overall first row of the per-poster maxima is always
     rank 1 in its own country, so the per-country ranking step is not needed:
@@ -92,13 +92,13 @@ def country_with_top_poster(posts: DataFrame, geo: DataFrame, skew: str = "aqe")
 
 
 def _with_age_group(posts: DataFrame, users: DataFrame, cols: list[str], strict: bool,
-                    skew: str) -> DataFrame:
+                    skew: str | Salt) -> DataFrame:
     j = posts_with(posts.select("ind", *cols), users.select("ind", "age", "date_joined"), skew=skew)
     return bucketize(j, "age", "age_group", strict=strict)
 
 
 def top_category_by_age(posts: DataFrame, users: DataFrame, strict: bool = False,
-                        strategy: str = "auto", skew: str = "aqe") -> DataFrame:
+                        strategy: str = "auto", skew: str | Salt = "aqe") -> DataFrame:
     """Most frequent category per age group. Posts without a user (NULL age) and
     ages outside every range fall into ``50+`` unless ``strict``."""
     j = _with_age_group(posts, users, ["category"], strict, skew)
@@ -109,7 +109,7 @@ def top_category_by_age(posts: DataFrame, users: DataFrame, strict: bool = False
 
 def median_followers_by_age(posts: DataFrame, users: DataFrame, exact: bool = True,
                             accuracy: int = 10000, strict: bool = False,
-                            sorted_: bool = False, skew: str = "aqe") -> DataFrame:
+                            sorted_: bool = False, skew: str | Salt = "aqe") -> DataFrame:
     j = _with_age_group(posts, users, ["follower_count"], strict, skew)
     out = median_by(j, ["age_group"], "follower_count", "median_follower_count",
                     accuracy=accuracy, exact=exact)
@@ -117,7 +117,7 @@ def median_followers_by_age(posts: DataFrame, users: DataFrame, exact: bool = Tr
 
 
 def joined_per_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
-                    skew: str = "aqe") -> DataFrame:
+                    skew: str | Salt = "aqe") -> DataFrame:
     """Post rows per year of the user's joining date within ``years``. It counts
     posts (one user with many posts counts many times), as posed."""
     j = posts_with(posts.select("ind"), users.select("ind", "date_joined"), skew=skew)
@@ -127,7 +127,7 @@ def joined_per_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
 
 def median_followers_by_join_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
                                   exact: bool = True, accuracy: int = 10000,
-                                  sorted_: bool = False, skew: str = "aqe") -> DataFrame:
+                                  sorted_: bool = False, skew: str | Salt = "aqe") -> DataFrame:
     j = posts_with(posts.select("ind", "follower_count"), users.select("ind", "date_joined"), skew=skew)
     j = year_between(j, "date_joined", *years)
     out = median_by(j, ["post_year"], "follower_count", "median_follower_count",
@@ -138,7 +138,7 @@ def median_followers_by_join_year(posts: DataFrame, users: DataFrame, years=JOIN
 def median_followers_by_age_and_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
                                      exact: bool = True, accuracy: int = 10000,
                                      strict: bool = False, sorted_: bool = False,
-                                     skew: str = "aqe") -> DataFrame:
+                                     skew: str | Salt = "aqe") -> DataFrame:
     j = _with_age_group(posts, users, ["follower_count"], strict, skew)
     j = year_between(j, "date_joined", *years)
     out = median_by(j, ["age_group", "post_year"], "follower_count", "median_follower_count",
