@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postflow.operators.joins import left_join
+
 HASH_SPACE = 16 ** 8   # first 8 hex digits of md5
 
 
@@ -41,12 +43,13 @@ def draw_count(key: Column, fraction: float, seed: int, copies: int = 3) -> Colu
 
 
 def replay_sample(base: DataFrame, others: list[DataFrame] | None = None, key: str = "ind",
-                  fraction: float = 1.0, seed: int = 100, copies: int = 3) -> DataFrame:
+                  fraction: float = 1.0, seed: int = 100, copies: int = 3, skew="aqe") -> DataFrame:
     """Rows of ``base`` repeated by their draw count (``draw`` = 1..n), each
-    left-joined with the row(s) of the same key in every frame of ``others``."""
+    left-joined with the row(s) of the same key in every frame of ``others``
+    (``skew`` as in ``postflow.operators.joins.left_join``)."""
     n = draw_count(F.col(key), fraction, seed, copies)
     out = (base.withColumn("_n", n).where(F.col("_n") > 0)
                .withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"))
     for other in others or []:
-        out = out.join(other, on=key, how="left")
+        out = left_join(out, other, key, skew=skew)
     return out
