@@ -53,3 +53,14 @@ def test_encode_decode_identity(spark, data):
     back = decode_json(env, stream_schema(POSTS_STREAM), "body").select("Data.*") \
         .select("index", "title", "category")
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+@SETTINGS
+@given(values=st.lists(st.one_of(st.none(), st.text(alphabet="0123456789+-. eE_kx٣", max_size=14),
+                                 st.integers(-2 ** 40, 2 ** 40).map(str)), max_size=40))
+def test_text_to_int_fast_path_equals_decimal_route(spark, values):
+    from postflow.functions.cleaning import text_to_int
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    out = df.select(text_to_int(F.col("s")).alias("a"),
+                    F.col("s").try_cast("decimal(38,10)").try_cast("int").alias("b")).collect()
+    assert all(r.a == r.b for r in out)
