@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.llm import bpe, packing, token_files
+from postflow.llm import bpe, langid, packing, simhash, token_files, topk
 from postflow.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(C.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(C.table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = topk.make_blocks(C.table(spark, sf_dir, "embeddings"), scale=256)
+    return topk.top_k(blocks, k=5, query_every=50)
+
+
 def _ids_text_digest():
     import hashlib
 
@@ -52,6 +62,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    learn = langid.learns(F.col("doc_id"), folds=4, held=2)
+    net = langid.train(docs, learn)
+    return langid.predict(docs.select("doc_id", "text", (~learn).alias("held_out")), net).drop("text")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = C.shared_uri(spark, "tokens")
     manifest = token_files.write_token_files(C.table(spark, sf_dir, "documents"),
@@ -60,7 +77,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op7_byte_bpe, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op5_topk, op7_byte_bpe, op9_langid, op10_token_files)}
 ORACLE_SQL: dict[str, str] = {}
 
 
