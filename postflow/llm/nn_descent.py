@@ -9,12 +9,12 @@
    member are joined again, and of those only pairs with a new member.
 3. A list whose last neighbour still reaches the threshold is saturated: its
    ``k`` doubles, so dense groups keep growing lists.
-4. Recall is audited each round against brute force: a bounded sample of nodes
-   meets all rows of its label in blocks. Rounds go on until the target is
-   reached and links stop growing, or ``rounds`` is used up.
-5. Edges at or above the threshold form components; inside a component all pairs
-   are counted exactly, block against block, so a saturated list never hides a
-   link and no pair is emitted.
+4. Edges at or above the threshold form components. Inside a component all pairs
+   are counted exactly, block against block, so a full list never hides a link
+   and no pair is emitted.
+5. Recall is audited against brute force after ``least_rounds`` rounds: a bounded
+   sample of nodes meets all rows of its label in blocks, and a true link is found
+   if step 4 counts it. Below the target, refinement goes on, up to ``rounds``.
 
 Defined results: vectors with a null label, null or zero vectors, vectors with
 null or non-finite components, and null ids link with nothing (0 links, own
@@ -198,7 +198,7 @@ def _counts(nodes: DataFrame, label_of: DataFrame, threshold: float) -> DataFram
                 .groupBy("node").agg(F.sum("n").alias("n")))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rounds: int = 8, orders: int = 6, reach: int = 2,
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rounds: int = 8, least_rounds: int = 2, orders: int = 6, reach: int = 2,
                     target: float = 0.98, audit: int = 256, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", report: dict | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept. ``report`` receives the audited recall per round."""
@@ -212,26 +212,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rou
     limits = nodes.where("false").select(F.col("node").alias("a"), F.lit(k).alias("k"))
     start = _scored(_start(nodes, nodes.count(), orders, reach), nodes).withColumn("fresh", F.lit(1))
     graph = C.checkpointed(_best(start, limits, k))
-    links, history = -1, []
-    for _ in range(rounds):
-        found = graph.where(F.col("sim") >= threshold).select("a", "b")
-        recall = truth.join(found.union(found.select("b", "a")).distinct(), ["a", "b"], "left_semi").count() / n_true if n_true else 1.0
-        now = found.count()
-        history.append(round(recall, 4))
-        if recall >= target and now == links:
-            break
-        links = now
+    history, label_of = [], None
+    for turn in range(rounds):
         full = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.count("*").alias("n"), F.max("k").alias("k"))
         limits = full.select("a", F.when((F.col("n") >= F.col("k")) & (F.col("worst") >= threshold), 2 * F.col("k"))
                                    .otherwise(F.col("k")).alias("k"))
         better = _join_lists(graph, nodes, k, floor=-1.0).withColumn("fresh", F.lit(1))
         old = graph.select("a", "b", "sim", F.lit(0).alias("fresh"))
         graph = C.checkpointed(_best(better.union(old), limits, k))
+        if turn + 1 < least_rounds:
+            continue
+        # a link counts as found if its ends share a component: there all pairs are counted below
+        label_of = C.checkpointed(connected_components(graph.where(F.col("sim") >= threshold).select("a", "b")))
+        ends = truth.join(label_of.withColumnsRenamed({"node": "a", "component": "ca"}), "a").join(
+            label_of.withColumnsRenamed({"node": "b", "component": "cb"}), "b")
+        history.append(ends.where("ca = cb").count() / n_true if n_true else 1.0)
+        if history[-1] >= target:
+            break
     if report is not None:
         report["recall"] = history
 
-    edges = graph.where(F.col("sim") >= threshold).select("a", "b")
-    label_of = C.checkpointed(connected_components(edges))
     counts = _counts(nodes, label_of, threshold)
     rooted = (nodes.join(label_of, "node", "left").join(counts, "node", "left")
                    .select("node", "first", F.coalesce("component", "node").alias("root"),
