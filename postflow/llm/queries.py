@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.llm import bpe, langid, nn_descent, packing, simhash, token_files, topk
+from postflow.llm import bpe, langid, nn_descent, packing, quality, simhash, token_files, topk
 from postflow.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled good and not toxic."""
+    return C.table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classify(docs, trusted_ids(spark, sf_dir)).drop("text")
+
+
 def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(C.table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -81,7 +91,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op4_nn_descent, op5_topk, op7_byte_bpe, op9_langid, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op7_byte_bpe, op9_langid, op10_token_files)}
 ORACLE_SQL: dict[str, str] = {}
 
 
