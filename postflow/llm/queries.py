@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.llm import bpe, langid, nn_descent, packing, quality, simhash, token_files, topk
+from postflow.llm import bpe, langid, nn_descent, packing, quality, simhash, suffix_dedup, token_files, topk
 from postflow.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(blocks, k=5, query_every=50)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, at = suffix_dedup.remove_repeats(C.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", at["n_bytes"], at["n_removed"], at["n_spans"], F.sha2(at["kept"], 256).alias("kept_sha256"))
+
+
 def _ids_text_digest():
     import hashlib
 
@@ -91,7 +96,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op7_byte_bpe, op9_langid, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op9_langid, op10_token_files)}
 ORACLE_SQL: dict[str, str] = {}
 
 
