@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.llm import bpe, langid, nn_descent, packing, quality, simhash, suffix_dedup, token_files, topk
+from postflow.llm import bpe, hpy, langid, nn_descent, packing, quality, simhash, suffix_dedup, token_files, topk
 from postflow.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_hpy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpy.score_documents(C.table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     learn = langid.learns(F.col("doc_id"), folds=4, held=2)
@@ -96,7 +100,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op9_langid, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op8_hpy, op9_langid, op10_token_files)}
 ORACLE_SQL: dict[str, str] = {}
 
 
