@@ -100,7 +100,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op8_hpy, op9_langid, op10_token_files)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op8_hpy, op9_langid, op10_token_files, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
 
 
