@@ -38,6 +38,7 @@ from postflow.llm.tokenizing import encoder
 SEQ_LEN = 2048
 FILE_TOKENS = 8 << 20
 BATCH_SEQS = 512
+BROADCAST_FILES = 200_000      # manifest rows, about 20 MB
 
 
 class _FileWriter:
@@ -169,6 +170,8 @@ def read_documents(spark: SparkSession, out_uri: str, manifest: DataFrame) -> Da
     files = spark.read.format("binaryFile").load(out_uri).select("path", "content")
     docs = files.mapInArrow(run, schema)
     known = manifest.select("file", F.col("start").alias("file_start"))
+    if manifest.count() <= BROADCAST_FILES:               # one short row per file; else a shuffled join
+        known = F.broadcast(known)
     return (docs.join(known, "file")                      # files of lost attempts are in no manifest
                 .select("doc_id", (F.col("file_start") + F.col("in_file")).alias("start"), "n_tokens", "ids"))
 

@@ -5,8 +5,8 @@ two non-space characters, and what follows such a cut does not depend on what
 stands before it. So a text's ids are the concatenation of the ids of its
 space-led words, and each word is encoded by the library once per cache life.
 Texts with other spacing (runs of white space, leading or trailing blanks) go
-to the library whole. The cache is bounded; when full it keeps the words of the
-current batch.
+to the library whole. The cache is bounded: two generations, the older one dropped when the
+younger is full.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import os
 import numpy as np
 
 SEP = "\x01"            # stands between cached words in one library call
-MAX_WORDS = 400_000     # cache entries, about 80 MB
+MAX_WORDS = 250_000     # entries of each of two generations, about 100 MB together
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 
 
@@ -29,6 +29,7 @@ class WordCachedEncoder:
         self.lib.encode_special_tokens = True    # their strings in a text are ordinary text
         self.vocab_size = self.lib.get_vocab_size()
         self.words: dict[str, bytes] = {}        # ids of " " + word
+        self.old_words: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}        # ids of a text's first word
         sep = self.ids(" " + SEP)
         self.sep_id, self.sep_len = int(sep[-1]), len(sep)
@@ -65,8 +66,12 @@ class WordCachedEncoder:
         new = seen.difference(self.words)
         odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
         new -= odd
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words = {w: self.words[w] for w in seen.intersection(self.words)}
+        if len(self.words) + len(new) > MAX_WORDS:            # the full generation becomes the old one
+            self.words, self.old_words = {}, self.words
+            new = {w for w in seen if w not in odd}
+        known = new.intersection(self.old_words)
+        self.words.update((w, self.old_words[w]) for w in known)
+        new -= known
         if len(self.heads) > MAX_WORDS // 8:
             self.heads = {}
         self._learn(list(new))
