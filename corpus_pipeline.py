@@ -27,7 +27,7 @@ from postflow.llm import common as C
 from postflow.llm import langid, packing, quality, simhash, suffix_dedup
 from postflow.llm.queries import trusted_ids
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.35
 ORACLE_SQL = None      # no stage but the cuts is expressible in SQL; tests use brute force
 
 

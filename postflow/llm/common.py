@@ -69,15 +69,18 @@ def texts_of(column) -> list[str]:
 
 def map_columns(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType],
                 fn: Callable[[], Callable[..., list]], rows: int = 2000) -> DataFrame:
-    """Append columns computed from ``inputs``; every row keeps all its columns.
+    """Append columns computed from ``inputs``; every row keeps all its columns, but a
+    column with the name of an output is replaced.
 
     ``fn()`` runs once per task and returns a function that takes one Arrow
     array per input and returns one list or array per output column.
     """
-    schema = T.StructType([*df.schema.fields, *[T.StructField(k, v, True) for k, v in outputs.items()]])
+    new = {k.lower() for k in outputs}
+    stay = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
+    schema = T.StructType([*(df.schema.fields[i] for i in stay), *[T.StructField(k, v, True) for k, v in outputs.items()]])
     at = [df.columns.index(c) for c in inputs]
     kinds = [f.type for f in to_arrow_schema(T.StructType([T.StructField(k, v) for k, v in outputs.items()]))]
-    names = [*df.columns, *outputs]
+    names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn()
@@ -86,7 +89,7 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType]
                 b = whole.slice(i, rows)
                 made = work(*[b.column(j) for j in at])
                 made = [m if isinstance(m, pa.Array) else pa.array(m, k) for m, k in zip(made, kinds)]
-                yield pa.RecordBatch.from_arrays([*b.columns, *made], names=names)
+                yield pa.RecordBatch.from_arrays([*(b.column(j) for j in stay), *made], names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -113,6 +113,7 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY, seed:
     ``sequence_id`` is group * 2**31 + the sequence's number in its group;
     offsets in a sequence are gapless from 0.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     group = C.fresh_name(pieces, "pack_group")
     dealt = pieces.withColumn(group, F.pmod(
         F.xxhash64(F.col("doc_id"), F.col("start"), F.spark_partition_id(), F.lit(seed)), F.lit(max(1, groups))))
