@@ -22,7 +22,7 @@ from postflow.sources.files import read_table, read_topic, read_stream, write_to
 from postflow.sources.fixtures import posts_raw, source_rows
 from postflow.streaming.pipeline import (
     RECORD_SCHEMA, clean_records, decode_records, dedup_records, land_records, read_appended,
-    run_feeds, start_append,
+    run_feeds, start_append, start_feed, to_records,
 )
 
 NULLED = posts_ctes("posts_raw", "pr")
@@ -36,15 +36,15 @@ def _land(spark, sf, feed):
     return root, landing
 
 
-def _stream(spark, sf, feed, decode_only=False, replays=1, dedup_delay=None):
+def _stream(spark, sf, feed, decode_only=False, replays=1, dedup_delay=None, sink="batches"):
     root, landing = _land(spark, sf, feed)
-    table = f"{root}/table"
+    table = f"postflow_stream_{feed}_{root[-12:]}" if sink == "table" else f"{root}/table"
     for i in range(replays):
         src = read_stream(spark, landing, RECORD_SCHEMA)
         if dedup_delay:
             src = dedup_records(src, dedup_delay)
         out = decode_records(src, feed) if decode_only else clean_records(src, feed)
-        start_append(out, table, f"{root}/checkpoint-{i}").awaitTermination()
+        start_append(out, table, f"{root}/checkpoint-{i}", sink=sink).awaitTermination()
     return read_appended(spark, table)
 
 
@@ -59,19 +59,19 @@ def _stream_decode_posts(spark, sf):
 
 @register("stream_append_posts", with_feeds(f"SELECT {POSTS_COLS} FROM pr", NULLED))
 def _stream_append_posts(spark, sf):
-    return _stream(spark, sf, "posts")
+    return _stream(spark, sf, "posts", sink="table")
 
 
 @register("stream_append_geo", with_feeds(
     'SELECT ind, country, coordinates, "timestamp" FROM geo_nodedup', GEO_NODEDUP))
 def _stream_append_geo(spark, sf):
-    return _stream(spark, sf, "geo")
+    return _stream(spark, sf, "geo", sink="table")
 
 
 @register("stream_append_users", with_feeds(
     "SELECT ind, user_name, age, date_joined FROM users_nodedup", USERS_NODEDUP))
 def _stream_append_users(spark, sf):
-    return _stream(spark, sf, "users")
+    return _stream(spark, sf, "users", sink="table")
 
 
 @register("stream_replay_doubles", with_feeds(
@@ -136,11 +136,14 @@ def _top_category_by_country_from_streams(spark, sf):
 
 # --------------------------------------------------------------------------- stored clean tables
 
-def _stored(spark, sf, feeds=("posts", "geo", "users"), buckets=8):
+def _stored(spark, sf, feeds=("posts", "geo", "users")):
     from postflow.plans.catalog import geo, users
-    from postflow.sources.tables import load_clean, store_clean
+    from postflow.session import path_bytes
+    from postflow.sources.tables import bucket_count, load_clean, store_clean
+    buckets = max(bucket_count(path_bytes(spark, f"{sf}/orders.parquet")), spark.sparkContext.defaultParallelism)
     make = {"posts": posts, "geo": geo, "users": users}
-    stored = store_clean({f: make[f](spark, sf) for f in feeds}, shared_dir(spark, "clean"), buckets)
+    root = shared_dir(spark, "clean")                 # own table names: a result may be read after the next call
+    stored = store_clean({f: make[f](spark, sf) for f in feeds}, root, buckets, prefix=f"postflow_{root[-12:]}")
     return load_clean(spark, stored)
 
 
@@ -174,11 +177,40 @@ def _scan_json_topic_inferred(spark, sf):
 def _stream_latest_start_posts(spark, sf):
     """Records landed before the stream starts are skipped; a later landing of
     the whole feed is taken (once)."""
-    import time
     root, landing = _land(spark, sf, "posts")
-    time.sleep(1.1)                                   # file times of the first landing < start
-    src = read_stream(spark, landing, RECORD_SCHEMA, starting="latest")
-    time.sleep(1.1)
+    src = read_stream(spark, landing, RECORD_SCHEMA, starting="latest", checkpoint=f"{root}/checkpoint")
     land_records(source_rows(spark, sf, "posts"), landing, STREAM_NAMES["posts"])
     start_append(clean_records(src, "posts"), f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return read_appended(spark, f"{root}/table")
+
+
+# --------------------------------------------------------------------------- quarantine
+
+def _quarantined(spark, sf):
+    """The posts stream with planted bad payloads (broken text, a text key, none at all)."""
+    root = shared_dir(spark, "streams", "posts")
+    k = F.col("partitionKey").cast("long")
+    bad = (F.when(k % 61 == 0, F.lit("{not json"))
+            .when(k % 67 == 0, F.concat(F.lit('{"index":"k'), k.cast("string"), F.lit('"}'))))
+    records = to_records(source_rows(spark, sf, "posts"), STREAM_NAMES["posts"]).withColumn(
+        "data", F.when(k % 71 == 0, F.lit(None).cast("binary"))
+                 .otherwise(F.coalesce(F.encode(bad, "UTF-8"), F.col("data"))))
+    records.write.parquet(f"{root}/landing")
+    start_feed(spark, "posts", f"{root}/landing", f"{root}/table", f"{root}/checkpoint",
+               quarantine_path=f"{root}/bad").awaitTermination()
+    return root
+
+
+@register("stream_quarantine_posts", with_feeds("""
+SELECT CAST("index" AS VARCHAR) AS "partitionKey",
+       CASE WHEN "index" % 71 = 0 THEN NULL WHEN "index" % 61 = 0 THEN '{not json'
+            ELSE '{"index":"k' || CAST("index" AS VARCHAR) || '"}' END AS payload
+FROM posts_raw WHERE "index" % 61 = 0 OR "index" % 67 = 0 OR "index" % 71 = 0"""))
+def _stream_quarantine_posts(spark, sf):
+    return read_appended(spark, f"{_quarantined(spark, sf)}/bad").select("partitionKey", "payload")
+
+
+@register("stream_quarantine_posts_good", with_feeds(
+    f"SELECT {POSTS_COLS} FROM pr WHERE ind % 61 <> 0 AND ind % 67 <> 0 AND ind % 71 <> 0", NULLED))
+def _stream_quarantine_posts_good(spark, sf):
+    return read_appended(spark, f"{_quarantined(spark, sf)}/table")

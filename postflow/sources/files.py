@@ -7,8 +7,7 @@ prune them; an explicit schema spares the inference scan.
 
 from __future__ import annotations
 
-import time
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,26 +44,51 @@ def write_topic(df: DataFrame, path: str, mode: str = "append",
     writer.json(path)
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+def read_stream(spark: SparkSession, path: str | None, schema: T.StructType | None, fmt: str = "parquet",
                 starting: str = "earliest", max_files_per_trigger: int | None = None,
-                **options) -> DataFrame:
-    """Replayable file stream of envelope records (``data`` binary + key).
+                checkpoint: str | None = None, **options) -> DataFrame:
+    """Stream of envelope records (``data`` binary + key) from any source format.
+
+    File formats take a folder and a schema; other sources (Kafka, ``rate``, a
+    cloud stream) take neither, only ``options``.
 
-    ``starting="earliest"`` replays everything in the folder. ``"latest"`` keeps
-    only files written after the query is defined; an ISO timestamp keeps files
-    modified after it. The cut uses the file metadata column, which the file
-    stream source supports (``modifiedAfter`` is batch-only).
+    For files, ``starting="earliest"`` replays everything in the folder and an
+    ISO timestamp keeps files modified after it. ``"latest"`` skips the files
+    that lay there when the query first started, and only those: their list is
+    stored in the ``checkpoint`` folder at the first start and read at every
+    restart, so files that land while the stream is down are delivered.
     """
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    reader = spark.readStream.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.load(path)
+    df = reader.load(path) if path else reader.load()
     if starting == "earliest":
         return df
+    if path is None:
+        raise ValueError("starting is for file streams; set the source's own option instead")
     if starting == "latest":
-        # pinned when the query is defined; current_timestamp() would move per batch
-        cut = F.timestamp_seconds(F.lit(time.time()))
-    else:
-        cut = F.lit(starting).cast("timestamp")
+        if not checkpoint:
+            raise ValueError("starting='latest' stores its cut in the stream's checkpoint folder: pass checkpoint")
+        old = first_start(spark, checkpoint, "skipped-files", lambda: _files_in(spark, path))
+        return (df.withColumn("_path", F.col("_metadata.file_path")).join(old, "_path", "left_anti").drop("_path"))
     return (df.withColumn("_mtime", F.col("_metadata.file_modification_time"))
-              .where(F.col("_mtime") > cut).drop("_mtime"))
+              .where(F.col("_mtime") > F.lit(starting).cast("timestamp")).drop("_mtime"))
+
+
+def _files_in(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file below ``path`` (its content is not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("_metadata.file_path").alias("_path"))
+
+
+def first_start(spark: SparkSession, checkpoint: str, name: str, make) -> DataFrame:
+    """The frame that ``make()`` gave when the stream with this checkpoint first
+    started; it is stored in the checkpoint folder, so it lives and dies with it."""
+    at = f"{checkpoint.rstrip('/')}/_postflow/{name}"
+    try:
+        return spark.read.parquet(at)
+    except AnalysisException:                # nothing stored yet: the first start
+        make().write.mode("overwrite").parquet(at)
+        return spark.read.parquet(at)

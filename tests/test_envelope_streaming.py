@@ -12,9 +12,10 @@ from postflow.functions.envelope import (
     decode_json, encode_rest, encode_stream, rest_schema, stream_schema,
 )
 from postflow.schemas import GEO_STREAM
+from postflow.session import SESSION_DEFAULTS
 from postflow.sources.files import read_stream
 from postflow.streaming.pipeline import (
-    RECORD_SCHEMA, clean_records, decode_records, land_records, preview, read_appended, run_feeds,
+    RECORD_SCHEMA, clean_records, decode_records, land_records, preview, read_appended, start_feed, run_feeds,
     start_append, to_records,
 )
 
@@ -109,18 +110,96 @@ def test_stream_restart_and_replay(spark, workdir):
 def test_stream_latest_start_skips_old_files(spark, workdir):
     landing = f"{workdir}/landing"
     land_records(_posts_rows(spark, 4), landing, "posts-stream")
-    time.sleep(1.1)
-    src = read_stream(spark, landing, RECORD_SCHEMA, starting="latest")
+    src = read_stream(spark, landing, RECORD_SCHEMA, starting="latest", checkpoint=f"{workdir}/ck")
     q = preview(clean_records(src, "posts"), "latest_preview")
     q.processAllAvailable()
     assert spark.table("latest_preview").count() == 0
-    time.sleep(1.1)
     land_records(_posts_rows(spark, 2, start=50), landing, "posts-stream")
     q.processAllAvailable()
     assert sorted(r.ind for r in spark.table("latest_preview").collect()) == [50, 51]
     q.stop()
 
 
+def test_latest_start_survives_a_restart(spark, workdir):
+    """Rows that land while the stream is down are delivered, each once."""
+    landing, table, ck = f"{workdir}/landing", f"{workdir}/table", f"{workdir}/ck"
+    land_records(_posts_rows(spark, 4), landing, "posts-stream")
+
+    def run():
+        start_feed(spark, "posts", landing, table, ck, starting="latest").awaitTermination()
+    run()
+    land_records(_posts_rows(spark, 3, start=20), landing, "posts-stream")
+    run()
+    land_records(_posts_rows(spark, 2, start=50), landing, "posts-stream")
+    run()
+    run()
+    assert sorted(r.ind for r in read_appended(spark, table).collect()) == [20, 21, 22, 50, 51]
+    with pytest.raises(ValueError):
+        read_stream(spark, landing, RECORD_SCHEMA, starting="latest")
+
+
+def test_run_id_lives_in_the_checkpoint(spark, workdir):
+    """Other spellings of a checkpoint are the same run; a recreated one is a new run."""
+    from postflow.streaming.pipeline import _run_id
+    ck = f"{workdir}/ck"
+    a = _run_id(spark, ck)
+    assert a == _run_id(spark, ck + "/") == _run_id(spark, f"file:{ck}")
+    landing, table = f"{workdir}/landing", f"{workdir}/table"
+    land_records(_posts_rows(spark, 4), landing, "posts-stream")
+    assert _run(spark, landing, table, ck).count() == 4
+    os.rename(ck, f"{workdir}/old")                       # removed and recreated at the same path
+    assert _run(spark, landing, table, ck).count() == 8
+
+
+def test_named_table_sink(spark, workdir):
+    landing, name = f"{workdir}/landing", f"appended_{os.path.basename(workdir).replace('-', '_')}"
+    land_records(_posts_rows(spark, 4), landing, "posts-stream")
+    for ck in ("a", "a", "b"):                            # a restart adds nothing, a new checkpoint a copy
+        start_feed(spark, "posts", landing, name, f"{workdir}/{ck}", sink="table").awaitTermination()
+    assert read_appended(spark, name).count() == 8 and "run" not in read_appended(spark, name).columns
+    assert spark.sql(f"SELECT count(DISTINCT run) FROM {name}").first()[0] == 2
+
+
+def test_feed_from_any_source(spark, workdir):
+    """A source without schema or path: the rate stream, mapped onto records."""
+    rate = read_stream(spark, None, None, fmt="rate", rowsPerSecond="50")
+    records = rate.selectExpr("'geo-stream' AS streamName", "CAST(value AS STRING) AS partitionKey",
+                              "CAST(to_json(named_struct('ind', CAST(value AS INT), 'country', 'X')) AS BINARY) AS data",
+                              "timestamp AS arrivalTimestamp")
+    q = start_feed(spark, "geo", records, f"{workdir}/t", f"{workdir}/ck", trigger="1 second")
+    for _ in range(60):
+        time.sleep(0.5)
+        if q.lastProgress and q.lastProgress["batchId"] >= 2:      # the first batch of this source is empty
+            break
+    q.stop()
+    assert {r.country for r in read_appended(spark, f"{workdir}/t").collect()} == {"X"}
+
+
+def test_rate_setting_cuts_a_replay(spark, workdir):
+    landing = f"{workdir}/landing"
+    for i in range(4):
+        land_records(_posts_rows(spark, 1, start=i).coalesce(1), landing, "posts-stream")
+    q = start_feed(spark, "posts", landing, f"{workdir}/t", f"{workdir}/ck", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert read_appended(spark, f"{workdir}/t").count() == 4
+    run, = os.listdir(f"{workdir}/t")
+    assert len([b for b in os.listdir(f"{workdir}/t/{run}") if b.startswith("batch=")]) >= 4
+
+
+def test_dedup_state_holds_no_payload(spark, workdir):
+    landing = f"{workdir}/landing"
+    land_records(_posts_rows(spark, 3), landing, "posts-stream")
+    land_records(_posts_rows(spark, 3), landing, "posts-stream")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", SESSION_DEFAULTS["spark.sql.streaming.stateStore.providerClass"])
+    try:
+        q = start_feed(spark, "posts", landing, f"{workdir}/t", f"{workdir}/ck", dedup_delay="1 hour")
+        q.awaitTermination()
+        plan = q._jsq.lastProgress().toString()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert read_appended(spark, f"{workdir}/t").count() == 3 and "rocksdb" in plan.lower()
+
+
 def test_run_feeds_needs_separate_checkpoints(spark, workdir):
     with pytest.raises(ValueError):
         run_feeds(spark, {"posts": ("a", "b", "c"), "geo": ("d", "e", "c")})
