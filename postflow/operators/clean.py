@@ -70,10 +70,11 @@ def _check(dedup: str) -> None:
 
 def drop_identical_records(df: DataFrame, feed: str) -> DataFrame:
     """Drop identical records. Identity is over the record's own fields (the
-    feed's raw schema); columns a reader adds — the topic partition from
-    partition discovery, file metadata, ``_corrupt_record`` — do not make two
-    copies of a record different (the cleaners drop them afterwards)."""
-    fields = [f.name for f in RAW[feed].fields if f.name in df.columns]
+    feed's raw schema) and, for a line that did not parse, its text in
+    ``_corrupt_record``. Columns a reader adds about the file — the topic
+    partition from partition discovery, file metadata — do not make two copies
+    of a record different (the cleaners drop them afterwards)."""
+    fields = [f for f in (*RAW[feed].fieldNames(), "_corrupt_record") if f in df.columns]
     extra = [c for c in df.columns if c not in fields]
     return df.dropDuplicates(fields) if extra and fields else df.dropDuplicates()
 

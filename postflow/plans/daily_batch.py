@@ -4,11 +4,12 @@ tables, answer every question into its own result table.
 Run with spark-submit (any scheduler can trigger it daily):
 
     spark-submit --py-files postflow.zip postflow/plans/daily_batch.py \\
-        --topics s3://bucket/topics --out s3://bucket/analytics --buckets 4096
+        --topics s3://bucket/topics --out s3://bucket/analytics
 
-The feeds are read from ``<topics>/<feed>`` with explicit schemas; the clean
-tables are written once (bucketed by ``ind`` when ``--buckets`` is given) and
-every question then reads only the columns it needs from them. Results are
+The input is measured first and sizes the shuffles and the buckets
+(``--input-bytes``, ``--slots`` and ``--buckets`` override it). The feeds are read
+from ``<topics>/<feed>`` with explicit schemas; the clean tables are written once,
+bucketed by ``ind``, and every question then reads only the columns it needs from them. Results are
 written as Parquet below ``<out>/results``.
 """
 
@@ -63,7 +64,9 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("--topics", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--buckets", type=int, default=None, help="default: one per 256 MB of input; 0: none")
+    ap.add_argument("--input-bytes", type=int, default=None, help="default: measured")
+    ap.add_argument("--slots", type=int, default=None, help="task slots; default: Spark's parallelism")
     ap.add_argument("--exact", action="store_true", help="exact medians instead of the sketch")
     ap.add_argument("--skew", default="aqe", choices=["aqe", "salt"],
                     help="salt: spread keys that are hot on the geo/users side")
@@ -71,9 +74,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--salt-buckets", type=int, default=64)
     a = ap.parse_args(argv)
     from postflow.operators.joins import Salt
-    from postflow.session import build_session
+    from postflow.session import apply_sizing, build_session, path_bytes
+    from postflow.sources.tables import bucket_count
     skew = Salt(a.hot_rows, a.salt_buckets) if a.skew == "salt" else "aqe"
-    run(build_session(), a.topics, a.out, a.buckets, a.exact, skew)
+    spark = build_session()
+    size = a.input_bytes or path_bytes(spark, a.topics)
+    apply_sizing(spark, size, a.slots or spark.sparkContext.defaultParallelism)
+    run(spark, a.topics, a.out, bucket_count(size) if a.buckets is None else a.buckets, a.exact, skew)
 
 
 if __name__ == "__main__":

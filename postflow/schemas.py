@@ -18,6 +18,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 # Raw batch rows as the JSON feed lands them (numbers are JSON numbers).
+# The feeds' field names, order and types, as they arrive.
 POSTS_RAW = _struct(
     ("index", L), ("unique_id", S), ("title", S), ("description", S), ("poster_name", S),
     ("follower_count", S), ("tag_list", S), ("is_image_or_video", S), ("image_src", S),

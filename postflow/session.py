@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings applied by ``build_session``. They are defaults: anything the caller
@@ -23,20 +24,26 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def build_session(master: str | None = None, app: str = "postflow",
                   input_bytes: int | None = None, slots: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or fetch) a session with the library defaults; with
-    ``input_bytes`` and ``slots`` the shuffle sizes come from ``sizing``."""
+    """Create (or fetch) a session; library defaults fill in what the caller has
+    not set. With ``input_bytes`` and ``slots`` the shuffle sizes come from
+    ``sizing``; ``extra`` is set in any case."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     if input_bytes and slots:
         conf.update(sizing(input_bytes, slots))
+    active = SparkSession.getActiveSession()
+    own = active.conf.getAll if active else dict(SparkConf().getAll())
+    conf = {k: v for k, v in conf.items() if k not in own}
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -46,13 +53,18 @@ def build_session(master: str | None = None, app: str = "postflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (tests, a bare local
-    session) a fresh folder below the system temp dir is created and registered.
+    Reads ``spark.checkpoint.dir``. Only a session whose executors run in this
+    process (``local``, as in tests) may leave it unset: it gets a fresh folder
+    below the system temp dir. On a cluster such a folder would be another one
+    on every machine, so there a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="postflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -67,11 +79,30 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
     path = "/".join([root, "postflow", *leaf])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    if _file_system(spark, path).getScheme() == "file":      # Spark's writers make remote folders
+        os.makedirs(path.removeprefix("file://").removeprefix("file:"), exist_ok=True)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below a path of any file system Spark reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return int(_file_system(spark, path).getContentSummary(at).getLength())
+
+
+def apply_sizing(spark: SparkSession, input_bytes: int, slots: int) -> None:
+    """Set ``sizing`` on a running session, but for what its caller has set."""
+    own = spark.conf.getAll
+    for k, v in sizing(input_bytes, slots).items():
+        if k not in own:
+            spark.conf.set(k, v)
+
+
 def sizing(input_bytes: int, slots: int) -> dict[str, str]:
     """Shuffle sizing from the input size and the cluster's task slots.
 
@@ -81,9 +112,11 @@ def sizing(input_bytes: int, slots: int) -> dict[str, str]:
     into one task. The initial partition count is one per 256 MB of input
     (at least ``slots``, at most 100,000); AQE coalesces down from there.
     """
+    if input_bytes <= 0 or slots <= 0:
+        raise ValueError("sizing needs the input's size and the number of slots")
     kb, mb = 1024, 1024 * 1024
     target = max(64 * kb, min(256 * mb, input_bytes // max(1, 16 * slots)))
-    parts = max(slots, min(100_000, -(-input_bytes // (256 * mb))))
+    parts = max(slots, -(-input_bytes // (256 * mb)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
@@ -93,7 +126,10 @@ def sizing(input_bytes: int, slots: int) -> dict[str, str]:
 
 
 def folder_bytes(path: str) -> int:
-    """Total size of the files below a local folder (0 for remote paths)."""
+    """Total size of the files below a local folder, before there is a session
+    (``path_bytes`` measures any path)."""
+    if not os.path.isdir(path):
+        raise ValueError(f"{path} is no local folder; use path_bytes")
     total = 0
     for dirpath, _, files in os.walk(path):
         total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)

@@ -2,11 +2,14 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from postflow.operators.sampling import draw_count, draw_threshold, replay_sample
+from postflow.operators.clean import drop_identical_records
+from postflow.operators.sampling import draw_count, draw_thresholds, replay_sample
 from postflow.schemas import POSTS_RAW, conform
-from postflow.session import checkpoint_root, shared_dir, sizing
+from postflow import session
+from postflow.session import apply_sizing, build_session, checkpoint_root, folder_bytes, path_bytes, shared_dir, sizing
 from postflow.sources.files import read_table, read_topic, write_topic
 from postflow.sources.tables import load_clean, store_clean
 
@@ -61,18 +64,74 @@ def test_sizing_scales():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(small["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) < 2 ** 20
     big = sizing(100 * 2 ** 40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(big["spark.sql.shuffle.partitions"]) * 256 * 2 ** 20 == 100 * 2 ** 40      # no cap
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 2 ** 20)
 
 
-def test_draws_deterministic_and_calibrated(spark):
+def test_sizes_must_be_known(spark, workdir):
+    with pytest.raises(ValueError):
+        sizing(0, 8000)
+    with pytest.raises(ValueError):
+        folder_bytes("s3://bucket/topics")
+    with open(f"{workdir}/a", "wb") as f:
+        f.write(b"x" * 1000)
+    assert path_bytes(spark, f"file://{workdir}") == path_bytes(spark, workdir) == 1000 == folder_bytes(workdir)
+
+
+def test_callers_settings_win(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert build_session().conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        apply_sizing(spark, 10 ** 12, 100)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("b")) == 256 * 2 ** 20
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        for k in sizing(1, 1):
+            if k != "spark.sql.shuffle.partitions":
+                spark.conf.unset(k)
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: Conf)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session)
+
+
+def test_draws_deterministic_and_poisson(spark):
     df = spark.range(20000).select(F.col("id").alias("ind"))
-    n = df.select(draw_count(F.col("ind"), 1.0, 100, 3).alias("n"))
-    stats = n.agg(F.avg("n").alias("m"), F.max("n").alias("mx"), F.min("n").alias("mn")).collect()[0]
-    assert abs(stats.m - 1.0) < 0.05 and stats.mx <= 3 and stats.mn == 0
-    again = df.select(draw_count(F.col("ind"), 1.0, 100, 3).alias("n"))
+    n = df.select(draw_count(F.col("ind"), 1.0, 100).alias("n"))
+    stats = n.agg(F.avg("n").alias("m"), F.var_samp("n").alias("v"), F.max("n").alias("mx"), F.min("n").alias("mn")).collect()[0]
+    assert abs(stats.m - 1.0) < 0.05 and abs(stats.v - 1.0) < 0.06 and stats.mx > 4 and stats.mn == 0
+    again = df.select(draw_count(F.col("ind"), 1.0, 100).alias("n"))
     assert n.exceptAll(again).count() == 0
-    assert draw_threshold(0.0, 3) == 0
+    assert df.select(F.sum(draw_count(F.col("ind"), 0.0, 100))).first()[0] == 0 and len(draw_thresholds(1.0)) > 10
+
+
+def test_malformed_lines_stay_apart(spark, workdir):
+    with open(f"{workdir}/a.json", "w") as f:
+        f.write('{"ind": 1, "country": "X"}\nnot json\nnor this\nnot json\n{"ind": 1, "country": "X"}\n')
+    out = drop_identical_records(read_topic(spark, f"{workdir}/a.json", infer=True), "geo")
+    assert out.count() == 3
+
+
+def test_appended_files_are_seen(spark, workdir):
+    from postflow.sources.fixtures import table
+    spark.range(3).write.parquet(f"{workdir}/orders.parquet")
+    assert table(spark, workdir, "orders").count() == 3
+    spark.range(5).write.mode("append").parquet(f"{workdir}/orders.parquet")
+    assert table(spark, workdir, "orders").count() == 8
 
 
 def test_replay_sample_aligns_feeds(spark):
@@ -83,7 +142,7 @@ def test_replay_sample_aligns_feeds(spark):
     for r in out:
         assert r.category == f"c{r.ind}"
         assert r.country == (f"X{r.ind}" if r.ind % 2 == 0 else None)
-        assert 1 <= r.draw <= 3
+        assert r.draw >= 1
 
 
 def test_store_clean_bucketed_join_has_no_exchange(spark, workdir):
@@ -105,5 +164,15 @@ def test_store_clean_bucketed_join_has_no_exchange(spark, workdir):
 def test_store_clean_writes_one_file_per_bucket(spark, workdir):
     df = spark.range(5000).selectExpr("CAST(id AS INT) AS ind", "id % 7 AS category").repartition(9)
     store_clean({"posts": df}, workdir, buckets=4)
-    files = [f for f in os.listdir(f"{workdir}/posts") if f.endswith(".parquet")]
+    version, = os.listdir(f"{workdir}/posts")
+    files = [f for f in os.listdir(f"{workdir}/posts/{version}") if f.endswith(".parquet")]
     assert len(files) == 4
+
+
+def test_store_clean_twice_switches_one_table(spark, workdir):
+    one = spark.range(10).selectExpr("CAST(id AS INT) AS ind")
+    stored = store_clean({"posts": one}, workdir, buckets=2, prefix="twice")
+    again = store_clean({"posts": one.union(one)}, workdir, buckets=2, prefix="twice")
+    assert stored == again == {"posts": "twice_posts"}
+    assert load_clean(spark, again)["posts"].count() == 20
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("twice")] == ["twice_posts"]
