@@ -9,8 +9,8 @@ Medians come in two kinds:
 * approximate (the feed's own definition): ``percentile_approx`` with a
   mergeable sketch; rank error at most ``n / accuracy``;
 * exact lower median (the value at rank ``ceil(n/2)`` of the non-NULL values),
-  computed by histogram selection: partial/final counts per (group, value) and,
-  side by side, per (group, ``value >> 16``) bucket; per group the coarse
+  computed by histogram selection: partial/final counts per (group, value),
+  summed per (group, ``value >> 16``) bucket; per group the coarse
   counts pick the bucket holding the target rank and a fine pass over the
   histogram rows inside it picks the value. Every window partition holds at
   most 65,536 rows whatever the data size, and the only full-data steps are
@@ -105,9 +105,9 @@ def exact_quantile_by(df: DataFrame, keys: list[str], col: str, q: float,
     # Pass 1: coarse buckets; NULL values form a NULL bucket that carries no rank.
     whole = Window.partitionBy(*g)
     n = F.sum(F.when(F.col("_b").isNotNull(), F.col("_bc"))).over(whole)
-    # counted from the rows themselves (not from ``hist``), so this pass and the
-    # histogram are independent stages that run side by side
-    level = (src.groupBy(*g, bucket(shifts[0]).alias("_b")).agg(F.count(F.lit(1)).alias("_bc"))
+    # summed from the histogram, so the rows (and the joins below them) are read once
+    # and the histogram's exchange serves both passes
+    level = (hist.groupBy(*g, bucket(shifts[0]).alias("_b")).agg(F.sum("_c").alias("_bc"))
                  .withColumn("_n", n)
                  .withColumn("_r", F.when(F.col("_n") > 0,
                                           F.greatest(F.ceil(F.lit(q) * F.col("_n")), F.lit(1)))))

@@ -10,20 +10,21 @@ from postflow.functions.cleaning import join_name, parse_timestamp, split_list,
 from postflow.functions.envelope import decode_json, encode_rest, encode_stream
 from postflow.operators import quality as QA
 from postflow.operators.aggregates import bucketize
+from postflow.operators.joins import Salt
 from postflow.operators.clean import (
     clean_geo, clean_posts, clean_users, expand_suffix_int, null_placeholders,
 )
-from postflow.plans.catalog import geo, posts, register, users
+from postflow.plans import questions as Q
+from postflow.plans.catalog import FIXTURE_JOIN_YEARS, REGISTRY, geo, posts, register, users
 from postflow.plans.oracle import (
     AGE_GROUP_SQL, GEO_NODEDUP, GEO_TYPED, POSTS_COLS, USERS_NODEDUP, posts_ctes, with_clean,
     with_feeds,
 )
-from postflow.schemas import POSTS_COLUMNS
+from postflow.schemas import POSTS_COLUMNS, POSTS_RAW
 from postflow.sources.fixtures import geo_raw, posts_raw, source_rows, table, users_raw
 
 PLACEHOLDER_COLS = ["title", "description", "follower_count", "poster_name", "tag_list", "image_src"]
-RAW_POST_COLS = ('"index", unique_id, title, description, poster_name, follower_count, tag_list, '
-                 'is_image_or_video, image_src, downloaded, save_location, category')
+RAW_POST_COLS = ", ".join(f'"{c}"' for c in POSTS_RAW.fieldNames())
 NULLED = posts_ctes("posts_raw", "pr")
 
 # --------------------------------------------------------------------------- cleaning rules
@@ -186,9 +187,16 @@ def _posts_users_left(spark, sf):
 @register("posts_geo_left_both_keys", with_clean(
     "SELECT p.ind, p.category, g.ind AS geo_ind, g.country FROM posts p LEFT JOIN geo g ON p.ind = g.ind"))
 def _posts_geo_left_both_keys(spark, sf):
-    p, g = posts(spark, sf), geo(spark, sf)
-    j = p.join(g, p["ind"] == g["ind"], "left")
-    return j.select(p["ind"], p["category"], g["ind"].alias("geo_ind"), g["country"])
+    p, g = posts(spark, sf).select("ind", "category"), geo(spark, sf).select("ind", "country")
+    return Q.posts_with(p, g, keep_both_keys=True).toDF("ind", "category", "geo_ind", "country")
+
+
+@register("posts_geo_left_both_keys_salted", with_clean(
+    "SELECT p.ind, p.category, g.ind AS geo_ind, g.country FROM posts p LEFT JOIN geo g ON p.ind = g.ind"))
+def _posts_geo_left_both_keys_salted(spark, sf):
+    p, g = posts(spark, sf).select("ind", "category"), geo(spark, sf).select("ind", "country")
+    return Q.posts_with(p, g, keep_both_keys=True, skew=Salt(hot_rows=1, buckets=8)) \
+        .toDF("ind", "category", "geo_ind", "country")
 
 
 @register("clean_posts_dedup_late", with_feeds(f"SELECT DISTINCT {POSTS_COLS} FROM pr", NULLED))
@@ -210,8 +218,7 @@ def _clean_users_nodedup(spark, sf):
 
 # --------------------------------------------------------------------------- wire formats
 
-_RAW_POST_FIELDS = ["index", "unique_id", "title", "description", "poster_name", "follower_count",
-                    "tag_list", "is_image_or_video", "image_src", "downloaded", "save_location", "category"]
+_RAW_POST_FIELDS = POSTS_RAW.fieldNames()
 _REST_VALUE = ", ".join(f"'{c}', \"{c}\"" for c in _RAW_POST_FIELDS)
 
 
@@ -252,21 +259,19 @@ def _envelope_roundtrip_users(spark, sf):
 
 # --------------------------------------------------------------------------- aligned replay sample
 
-_SAMPLE = dict(fraction=1.0, seed=100, copies=3)
+_SAMPLE = dict(fraction=1.0, seed=100)
 
 
 def _sample_sql() -> str:
-    from postflow.operators.sampling import draw_threshold
-    lim = draw_threshold(_SAMPLE["fraction"], _SAMPLE["copies"])
-    seed = _SAMPLE["seed"]
-    trials = " + ".join(
-        f"CASE WHEN ('0x' || substr(md5('{seed}:' || CAST(ind AS VARCHAR) || ':{t}'), 1, 8))::BIGINT < {lim} "
-        f"THEN 1 ELSE 0 END" for t in range(1, _SAMPLE["copies"] + 1))
+    from postflow.operators.sampling import draw_thresholds
+    limits = draw_thresholds(_SAMPLE["fraction"])
+    h = f"('0x' || substr(md5('{_SAMPLE['seed']}:' || CAST(ind AS VARCHAR)), 1, 8))::BIGINT"
+    draws = " + ".join(f"CASE WHEN {h} >= {t} THEN 1 ELSE 0 END" for t in limits)
     return with_clean(f"""
 SELECT s.ind, CAST(s.draw AS INTEGER) AS draw, s.category, g.country, u.user_name FROM (
   SELECT p.ind, p.category, d.draw
-  FROM (SELECT ind, category, {trials} AS n FROM posts) p
-  JOIN range(1, {_SAMPLE["copies"] + 1}) d(draw) ON d.draw <= p.n) s
+  FROM (SELECT ind, category, {draws} AS n FROM posts) p
+  JOIN range(1, {len(limits) + 1}) d(draw) ON d.draw <= p.n) s
 LEFT JOIN geo g ON s.ind = g.ind
 LEFT JOIN users u ON s.ind = u.ind""")
 
@@ -281,50 +286,45 @@ def _replay_sample(spark, sf):
 
 
 # --------------------------------------------------------------------------- approximate medians
-# The feeds' own definition of the median: percentile_approx with its default
-# accuracy (a mergeable sketch, rank error <= n / 10000). DuckDB has no
-# equivalent sketch, so these keys carry no oracle SQL; the exact keys above
-# are the checked ones and a unit test bounds the sketch's rank error.
+# The feeds' own definition of the median: percentile_approx. At this accuracy
+# the sketch keeps every distinct value of the test tables, so it returns the
+# exact lower median and shares the exact keys' SQL; the default accuracy
+# (10000) of the questions stays, and a unit test bounds its rank error.
 
-APPROXIMATE_KEYS = ("median_followers_by_age_approx", "median_followers_by_join_year_approx",
-                    "median_followers_by_age_and_year_approx")
+CHECK_ACCURACY = 1_000_000
 
 
-@register("median_followers_by_age_approx", None)
+@register("median_followers_by_age_approx", REGISTRY["median_followers_by_age"][1])
 def _median_followers_by_age_approx(spark, sf):
-    from postflow.plans import questions as Q
-    return Q.median_followers_by_age(posts(spark, sf), users(spark, sf), exact=False, sorted_=True)
+    return Q.median_followers_by_age(posts(spark, sf), users(spark, sf), exact=False,
+                                     accuracy=CHECK_ACCURACY, sorted_=True)
 
 
-@register("median_followers_by_join_year_approx", None)
+@register("median_followers_by_join_year_approx", REGISTRY["median_followers_by_join_year"][1])
 def _median_followers_by_join_year_approx(spark, sf):
-    from postflow.plans import questions as Q
-    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
     return Q.median_followers_by_join_year(posts(spark, sf), users(spark, sf), FIXTURE_JOIN_YEARS,
-                                           exact=False, sorted_=True)
+                                           exact=False, accuracy=CHECK_ACCURACY, sorted_=True)
 
 
-@register("median_followers_by_age_and_year_approx", None)
+@register("median_followers_by_age_and_year_approx", REGISTRY["median_followers_by_age_and_year"][1])
 def _median_followers_by_age_and_year_approx(spark, sf):
-    from postflow.plans import questions as Q
-    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
     return Q.median_followers_by_age_and_year(posts(spark, sf), users(spark, sf), FIXTURE_JOIN_YEARS,
-                                              exact=False, sorted_=True)
+                                              exact=False, accuracy=CHECK_ACCURACY, sorted_=True)
 
 
 # --------------------------------------------------------------------------- salted joins
-# hot_rows=0 marks every key hot, so the whole join runs through the salted
-# path (replicated left rows, salted right rows) and is checked against SQL.
+# Every hundredth key has two versions on the right side (planted); with
+# hot_rows=1 these are the hot keys, and only their left rows are replicated.
 
 @register("posts_geo_left_salted", with_clean(
     f"SELECT p.*, {_GEO_OUT} FROM posts p LEFT JOIN geo g ON p.ind = g.ind"))
 def _posts_geo_left_salted(spark, sf):
     from postflow.operators.joins import left_join
-    return left_join(posts(spark, sf), geo(spark, sf), "ind", skew="salt", hot_rows=0, buckets=8)
+    return left_join(posts(spark, sf), geo(spark, sf), "ind", skew="salt", hot_rows=1, buckets=8)
 
 
 @register("posts_users_left_salted", with_clean(
     "SELECT p.*, u.user_name, u.age, u.date_joined FROM posts p LEFT JOIN users u ON p.ind = u.ind"))
 def _posts_users_left_salted(spark, sf):
     from postflow.operators.joins import left_join
-    return left_join(posts(spark, sf), users(spark, sf), "ind", skew="salt", hot_rows=0, buckets=8)
+    return left_join(posts(spark, sf), users(spark, sf), "ind", skew="salt", hot_rows=1, buckets=8)

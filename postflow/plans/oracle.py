@@ -16,32 +16,40 @@ b AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
-d AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE k % 50 = 0),
+d AS (SELECT *, 1 AS cp FROM b UNION ALL SELECT *, 2 AS cp FROM b WHERE k % 50 = 0),
 posts_raw AS (
   SELECT k AS "index",
          'u-' || CAST(k AS VARCHAR) AS unique_id,
          CASE WHEN k % 19 = 0 THEN '' WHEN k % 23 = 0 THEN 'No Title Data Available'
+              WHEN k % 150 = 0 AND cp = 2 THEN 'Title ' || CAST(k AS VARCHAR) || ' edited'
               ELSE 'Title ' || CAST(k AS VARCHAR) END AS title,
          CASE WHEN k % 13 = 0 THEN 'No description available' WHEN k % 29 = 0 THEN 'Untitled'
+              WHEN k % 59 = 0 THEN 'An Untitled piece'
               ELSE 'Status ' || o_orderstatus END AS description,
          CASE WHEN k % 11 = 0 THEN 'User Info Error' ELSE c_name END AS poster_name,
-         CASE WHEN k % 11 = 0 THEN 'User Info Error'
+         CASE WHEN k % 11 = 0 OR n_nationkey = 7 THEN 'User Info Error'
+              WHEN k % 100 = 0 THEN CASE WHEN cp = 1 THEN '12k' ELSE '12000' END
+              WHEN c % 13 = 0 THEN CAST(c % 9 + 1 AS VARCHAR) || '.2k'
+              WHEN c % 17 = 0 THEN 'kk12k'
               WHEN c % 3 = 0 THEN CAST(c % 900 + 1 AS VARCHAR) || 'k'
               WHEN c % 7 = 0 THEN CAST(c % 9 + 1 AS VARCHAR) || 'M'
               ELSE CAST(c % 9973 AS VARCHAR) END AS follower_count,
          CASE WHEN k % 31 = 0 THEN 'N,o, ,T,a,g,s, ,A,v,a,i,l,a,b,l,e'
+              WHEN k % 41 = 0 THEN o_orderpriority || ','
               ELSE o_orderpriority || ',' || o_orderstatus || ',' || c_mktsegment END AS tag_list,
          CASE WHEN k % 4 = 0 THEN 'video' ELSE 'image' END AS is_image_or_video,
          CASE WHEN k % 37 = 0 THEN 'Image src error.'
               ELSE 'https://img.example/' || CAST(k AS VARCHAR) END AS image_src,
-         1 AS downloaded,
+         CASE WHEN k % 7 = 0 THEN 0 ELSE 1 END AS downloaded,
          'Local save in /data/' || c_mktsegment AS save_location,
          o_orderpriority AS category
   FROM d
 ),
 geo_raw AS (
-  SELECT k AS ind, CAST(o_orderdate AS VARCHAR) AS "timestamp",
-         CAST(n_nationkey * 6.5 - 78.0 AS DOUBLE) AS latitude,
+  SELECT k AS ind, CASE WHEN k % 47 = 0 THEN 'not a time' ELSE CAST(o_orderdate AS VARCHAR) END AS "timestamp",
+         CASE WHEN k % 43 <> 0 THEN CAST(n_nationkey * 6.5 - 78.0 AS DOUBLE)
+                                    + CASE WHEN k % 100 = 0 AND cp = 2 AND n_nationkey <> 12 THEN CAST(1e-9 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+         END AS latitude,
          CAST(n_nationkey * 14.25 - 171.0 AS DOUBLE) AS longitude,
          n_name AS country
   FROM d WHERE k % 17 <> 0
@@ -50,8 +58,8 @@ user_raw AS (
   SELECT k AS ind,
          CASE WHEN c % 41 = 0 THEN NULL ELSE 'First' || CAST(c % 97 AS VARCHAR) END AS first_name,
          'Last' || CAST(c % 89 AS VARCHAR) AS last_name,
-         13 + c % 60 AS age,
-         CAST(o_orderdate AS VARCHAR) AS date_joined
+         13 + c % 60 + CASE WHEN k % 100 = 0 AND cp = 2 THEN 1 ELSE 0 END AS age,
+         CASE WHEN k % 53 = 0 THEN '' ELSE CAST(o_orderdate AS VARCHAR) END AS date_joined
   FROM d WHERE k % 23 <> 0
 )"""
 

@@ -35,8 +35,12 @@ def posts_with(posts: DataFrame, other: DataFrame, keep_both_keys: bool = False,
     the right key as well (two ``ind`` columns, the right one NULL when there
     is no match). ``skew="salt"`` salts keys that are hot on the right side
     (see ``postflow.operators.joins``)."""
-    if keep_both_keys:
+    if keep_both_keys and skew == "aqe":
         return posts.join(other, posts["ind"] == other["ind"], "left")
+    if keep_both_keys:
+        out = left_join(posts, other.withColumn("_right_ind", F.col("ind")), "ind", skew=skew)
+        rest = [c for c in other.columns if c != "ind"]
+        return out.select(*posts.columns, F.col("_right_ind").alias("ind"), *rest)
     return left_join(posts, other, "ind", skew=skew)
 
 
@@ -73,10 +77,11 @@ def max_followers_by_poster(posts: DataFrame, geo: DataFrame, skew: str | Salt =
     return max_by_group(j, ["country", "poster_name"], "follower_count")
 
 
-def top_poster_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "auto",
+def top_poster_by_country(posts: DataFrame, geo: DataFrame, strategy: str = "join",
                           skew: str | Salt = "aqe") -> DataFrame:
     """Poster(s) with the most followers per country. A country whose counts are
-    all NULL returns every one of its posters."""
+    all NULL returns every one of its posters, which is why the join plan is the
+    default: tied rows of a group then stay spread over many tasks."""
     per_poster = max_followers_by_poster(posts, geo, skew=skew)
     return top_per_group(per_poster, ["country"], "follower_count", strategy=strategy) \
         .select("country", "poster_name", "follower_count")
@@ -107,7 +112,7 @@ def top_category_by_age(posts: DataFrame, users: DataFrame, strict: bool = False
         .select("age_group", "category", "category_count")
 
 
-def median_followers_by_age(posts: DataFrame, users: DataFrame, exact: bool = True,
+def median_followers_by_age(posts: DataFrame, users: DataFrame, exact: bool = False,
                             accuracy: int = 10000, strict: bool = False,
                             sorted_: bool = False, skew: str | Salt = "aqe") -> DataFrame:
     j = _with_age_group(posts, users, ["follower_count"], strict, skew)
@@ -126,7 +131,7 @@ def joined_per_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
 
 
 def median_followers_by_join_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
-                                  exact: bool = True, accuracy: int = 10000,
+                                  exact: bool = False, accuracy: int = 10000,
                                   sorted_: bool = False, skew: str | Salt = "aqe") -> DataFrame:
     j = posts_with(posts.select("ind", "follower_count"), users.select("ind", "date_joined"), skew=skew)
     j = year_between(j, "date_joined", *years)
@@ -136,7 +141,7 @@ def median_followers_by_join_year(posts: DataFrame, users: DataFrame, years=JOIN
 
 
 def median_followers_by_age_and_year(posts: DataFrame, users: DataFrame, years=JOIN_YEARS,
-                                     exact: bool = True, accuracy: int = 10000,
+                                     exact: bool = False, accuracy: int = 10000,
                                      strict: bool = False, sorted_: bool = False,
                                      skew: str | Salt = "aqe") -> DataFrame:
     j = _with_age_group(posts, users, ["follower_count"], strict, skew)

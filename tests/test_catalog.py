@@ -9,35 +9,55 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
+from postflow.operators.clean import CLEANERS  # noqa: E402
+from postflow.plans import catalog  # noqa: E402
+from postflow.plans import questions as Q  # noqa: E402
+from postflow.sources.fixtures import RAW_FEEDS  # noqa: E402
 from scripts.oracle_check import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-FAST_KEYS = ["clean_posts", "clean_geo", "clean_users", "top_category_by_country", "top_category_by_year",
-             "top_poster_by_country", "country_with_top_poster", "top_category_by_age",
-             "median_followers_by_age", "joined_per_year", "median_followers_by_join_year",
-             "median_followers_by_age_and_year", "null_profile", "key_uniqueness", "envelope_encode_rest",
-             "envelope_encode_stream", "stream_append_geo", "scan_json_topic"]
+KEYS = sorted(catalog.oracle_sql())
 
 
 def test_every_key_has_oracle():
-    from postflow.plans.operator_keys import APPROXIMATE_KEYS
-    qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert len(qs) >= 40
-    # only the approximate medians (no DuckDB equivalent of the sketch) lack SQL
-    assert set(qs) - set(sqls) == set(APPROXIMATE_KEYS)
-
-
-def test_approximate_medians_close_to_exact(spark):
-    qs = E.queries()
-    for key in ("median_followers_by_age", "median_followers_by_age_and_year"):
-        exact = {tuple(r[:-1]): r[-1] for r in qs[key](spark, SF).collect()}
-        approx = {tuple(r[:-1]): r[-1] for r in qs[key + "_approx"](spark, SF).collect()}
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())
+    assert len(KEYS) >= 60
+
+
+def test_default_accuracy_close_to_exact(spark):
+    p, u = catalog.posts(spark, SF), catalog.users(spark, SF)
+    for question in (Q.median_followers_by_age, Q.median_followers_by_age_and_year):
+        exact = {tuple(r[:-1]): r[-1] for r in question(p, u, exact=True).collect()}
+        approx = {tuple(r[:-1]): r[-1] for r in question(p, u).collect()}
         assert exact.keys() == approx.keys()
         for k, v in exact.items():
             assert v is None or abs(approx[k] - v) <= max(1, abs(v) // 100)
 
 
+@pytest.mark.parametrize("key", ["geo_null_latitude", "array_null_count", "array_null_exists", "stream_quarantine_posts"])
+def test_planted_cases_occur(spark, key):
+    assert catalog.queries()[key](spark, SF).count() > 0
+
+
+def test_planted_versions(spark):
+    q = catalog.queries()
+    assert q["clean_posts_dedup_late"](spark, SF).count() < q["clean_posts"](spark, SF).count()
+    assert q["clean_geo_dedup_late"](spark, SF).count() < q["clean_geo"](spark, SF).count()
+    versions = q["clean_posts_dedup_late"](spark, SF).groupBy("ind").count().where("count > 1").count()
+    assert versions > 0
+    assert {r.downloaded for r in q["clean_posts"](spark, SF).select("downloaded").distinct().collect()} == {True, False}
+    assert q["replay_sample"](spark, SF).agg({"draw": "max"}).first()[0] > 3
+    silent = q["max_followers_by_poster"](spark, SF).groupBy("country").agg({"follower_count": "max"})
+    assert silent.where("country IS NOT NULL AND `max(follower_count)` IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("feed", ["posts", "geo", "users"])
+def test_clean_sorts_by_key(spark, feed):
+    got = [r.ind for r in CLEANERS[feed](RAW_FEEDS[feed](spark, SF), sort=True).select("ind").collect()]
+    assert got == sorted(got) and len(got) > 1000
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["country", "category", "category_count"]
@@ -55,7 +75,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", FAST_KEYS)
+@pytest.mark.parametrize("key", KEYS)
 def test_key_matches_oracle(spark, duck, key):
     sdf = E.queries()[key](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
