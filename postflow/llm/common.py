@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -62,6 +62,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sampled_ids(rows: DataFrame, per_lang: int, seed: int) -> DataFrame:
+    """(doc_id) of the ``per_lang`` rows of smallest id hash in each language of ``rows`` (doc_id, lang).
+
+    Only hashes that the language's row count lets expect among four times as
+    many are ranked, so a ranking task holds some ``4 * per_lang`` rows whatever
+    the table's size. Null languages count as the empty one.
+    """
+    keyed = rows.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"),
+                        (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(1 << 53)).alias("h"))
+    counts = keyed.groupBy("lang").count().collect()                  # one row per language
+    if not counts:
+        return rows.select("doc_id").where("false")
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 4.0 * per_lang / r["count"])])
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    return (keyed.where(F.col("h") < share[F.col("lang")]).withColumn("rank", F.row_number().over(order))
+                 .where(F.col("rank") <= per_lang).select("doc_id").distinct())
+
+
 def texts_of(column) -> list[str]:
     """Python strings of an Arrow column; null reads as the empty string."""
     return [t or "" for t in column.to_pylist()]

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,9 +150,7 @@ def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     """A network learned from the bounded sample; None without any labelled text."""
     rows = docs.select(C.col(id_col).alias("doc_id"), C.col(text_col).alias("text"), C.col(lang_col).alias("lang"),
                        may_learn.alias("learn")).where("learn AND text IS NOT NULL AND lang IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
-    chosen = (rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-                  .where(F.col("rank") <= docs_per_lang).select("doc_id").distinct())      # bounded: languages x docs_per_lang
+    chosen = C.sampled_ids(rows, docs_per_lang, seed=11)               # bounded: languages x docs_per_lang
 
     def cut(batches):
         for b in batches:

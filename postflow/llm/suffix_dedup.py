@@ -418,7 +418,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     work = _Dedup(id_col, text_col, max(64, chunks.count()))
     work.made = list(names.values())
     digests = C.checkpointed(chunks.mapInArrow(work.digests, "digest binary, doc long, chunk_id long, at int"))
-    least = digests.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1")
+    # checkpointed, so the join below has an exchange of its own and a hot digest is split
+    least = C.checkpointed(digests.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"))
 
     def packed(t):
         return pa.table({"chunk_id": t.column("chunk_id").slice(0, 1), "kind": pa.array([0], pa.int8()),
