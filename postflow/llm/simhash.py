@@ -8,7 +8,8 @@
    Every fingerprint is a table row under each segment value and probes the
    values in the Hamming ball around it. Of two that differ in one bit of a
    segment, the one with a 0 there probes the other.
-4. Rows are dealt by (segment, value). Where table rows meet probes, complete
+4. Rows are dealt by (segment, value); a value that very many fingerprints share
+   is cut into a grid of parts in which each pair still meets once. Where table rows meet probes, complete
    distances are verified block by block, and a spanning forest of the links is
    emitted: every link between fingerprints counts, but a group of k gives at
    most k - 1 edges.
@@ -33,7 +34,8 @@ from pyspark.sql import types as T
 from postflow.llm import common as C
 from postflow.llm.components import connected_components
 
-BLOCK = 2048     # rows of a verification block
+BLOCK = 16384         # rows of a verification block
+HOT_ROWS = 1 << 16    # table rows of a bucket from which it is cut into parts
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> bytes:
@@ -77,9 +79,38 @@ def segments(max_bits: int) -> tuple[list[tuple[int, int]], int]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])], max_bits // m
 
 
+def hot_buckets(fps: DataFrame, max_bits: int) -> dict[int, int]:
+    """Buckets with over HOT_ROWS table rows, and into how many parts to cut them:
+    at most segments x fingerprints / HOT_ROWS entries."""
+    segs, _ = segments(max_bits)
+    if len(segs) == 1:                                   # a bucket is one fingerprint
+        return {}
+    keys = [F.shiftrightunsigned("fp", shift).bitwiseAND((1 << width) - 1).bitwiseOR(s << 32) for s, (shift, width) in enumerate(segs)]
+    found = fps.select(F.explode(F.array(*keys)).alias("bucket")).groupBy("bucket").count().where(F.col("count") > HOT_ROWS).collect()
+    return {r["bucket"]: min(2048, -(-r["count"] // HOT_ROWS)) for r in found}
+
+
+def _spread(bucket: np.ndarray, fp: np.ndarray, probe: int, hot: dict[int, int]):
+    """Rows of hot buckets go to a grid of parts (i, j): a table row is in one line i,
+    a row to compare with it in one column j, so each pair meets in one part."""
+    is_hot = np.isin(bucket, np.fromiter(hot, np.uint64, len(hot)))
+    yield _rows(bucket[~is_hot], fp[~is_hot], probe)
+    for b in np.unique(bucket[is_hot]).tolist():
+        mine, n = fp[bucket == b], hot[b]
+        mixed = mine * np.uint64(0x9E3779B97F4A7C15)
+        line, column = (mixed >> np.uint64(33)) % np.uint64(n), (mixed >> np.uint64(12)) % np.uint64(n)
+        for k in range(n):
+            part = np.uint64(b) | np.uint64(k << 51) | (line << np.uint64(40))
+            if probe == 0:
+                yield _rows(part, mine, 0)
+            yield _rows(np.uint64(b) | np.uint64(k << 40) | (column << np.uint64(51)), mine, 1)
+
+
 def _table_and_probes(fps: DataFrame, max_bits: int) -> DataFrame:
     """Rows (bucket, probe, fp): each fingerprint under its own and its ball's segment values."""
     segs, radius = segments(max_bits)
+    hot = hot_buckets(fps, max_bits)
+    made = (lambda b, f, p: _spread(b, f, p, hot)) if hot else (lambda b, f, p: [_rows(b, f, p)])
 
     def run(batches):
         for whole in batches:
@@ -88,13 +119,13 @@ def _table_and_probes(fps: DataFrame, max_bits: int) -> DataFrame:
                 for s, (shift, width) in enumerate(segs):
                     tag = np.uint64((s << 32) if len(segs) > 1 else 0)
                     key = (fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)
-                    yield _rows(key | tag, fp, 0)
+                    yield from made(key | tag, fp, 0)
                     for k in range(1, radius + 1):
                         for bits in combinations(range(width), k):
                             mask = np.uint64(sum(1 << b for b in bits))
                             use = (key & mask) == 0 if k == 1 else np.ones(len(key), bool)
                             if use.any():
-                                yield _rows((key[use] ^ mask) | tag, fp[use], 1)
+                                yield from made((key[use] ^ mask) | tag, fp[use], 1)
     return fps.mapInArrow(run, "bucket long, probe byte, fp long")
 
 
@@ -110,8 +141,8 @@ def forest(table: np.ndarray, probes: np.ndarray, max_bits: int) -> list[tuple[i
     root = np.arange(len(every))
     edges = []
     for i, fp in enumerate(table):
-        for a in range(i + 1, len(every), BLOCK * 8):
-            block = every[a:a + BLOCK * 8]
+        for a in range(i + 1, len(every), BLOCK):
+            block = every[a:a + BLOCK]
             near = a + np.flatnonzero(np.bitwise_count(block ^ fp) <= max_bits)
             near = near[root[near] != root[i]]
             while len(near):

@@ -68,6 +68,20 @@ def test_multi_index_finds_every_link(spark, bits):
     assert [got[s] for s in signed] == plain_components(len(fps), links)
 
 
+def test_hot_buckets_are_cut_and_lose_no_link(spark, monkeypatch):
+    rnd = random.Random(21)
+    high = rnd.getrandbits(32) << 32                      # all share the upper segment
+    fps = sorted({high | rnd.getrandbits(32) for _ in range(60)})
+    fps += sorted({f ^ sum(1 << b for b in rnd.sample(range(64), 3)) for f in fps} - set(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    sig = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    monkeypatch.setattr(simhash, "HOT_ROWS", 10)
+    assert simhash.hot_buckets(sig.select("fp"), 3)
+    got = {r.fp: r.component_id for r in simhash.components(sig, 3).collect()}
+    assert [got[s] for s in signed] == plain_components(len(fps), links) and len(links) >= 60
+
+
 def test_simhash_documents(docs, no_docs):
     got = simhash.near_duplicates(docs).collect()
     assert len(got) == len(ROWS)
