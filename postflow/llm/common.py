@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from postflow.session import checkpoint_root
 
 CHUNK_BYTES = 8 << 20
+MAX_BUCKETS = 100_000       # what Spark allows a table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,7 +164,7 @@ def write_chunks(df: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     (df.mapInArrow(run, "chunk_id long, docs binary").write.format("parquet")
        .option("path", shared_uri(spark, "chunks")).option("compression", "uncompressed")
        .option("parquet.block.size", str(32 << 20))
-       .bucketBy(shuffle_parts(spark), "chunk_id").saveAsTable(name))
+       .bucketBy(min(shuffle_parts(spark), MAX_BUCKETS), "chunk_id").saveAsTable(name))
     return spark.table(name)
 
 
