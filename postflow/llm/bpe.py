@@ -33,10 +33,15 @@ from postflow.llm import common as C
 LEAF_CHARS = 4096      # text leaves of the tree
 LEAF_BYTES = 64        # leaves inside one long match
 LOOK = 3               # characters past a match's end that decide it
-MAX_WORDS = 400_000    # bound of each cache
+MAX_WORDS = 250_000    # bound of each cache's younger generation
 _CODECS: dict[tuple[str, str], "TreeBPE"] = {}
 
 
+def _aged(young: dict, old: dict, more: int) -> tuple[dict, dict]:
+    """Two generations of a cache: a full young one becomes the old one."""
+    return (young, old) if len(young) + more <= MAX_WORDS else ({}, young)
+
+
 class TreeBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -46,6 +51,8 @@ class TreeBPE:
         self.find = regex.compile(pattern)
         self.matches: dict[str, bytes] = {}     # ids of one match
         self.words: dict[str, bytes] = {}       # ids of " " + word
+        self.old_matches: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     # ---- inside one match
@@ -105,10 +112,11 @@ class TreeBPE:
         """Ids of one match of the pattern, as little-endian 32-bit integers."""
         ids = self.matches.get(m)
         if ids is None:
-            ids = np.array(self.encode_bytes(m.encode("utf-8", "surrogatepass")), dtype="<i4").tobytes()
+            ids = self.old_matches.get(m)
+            if ids is None:
+                ids = np.array(self.encode_bytes(m.encode("utf-8", "surrogatepass")), dtype="<i4").tobytes()
             if len(m) <= LEAF_BYTES:
-                if len(self.matches) > MAX_WORDS:
-                    self.matches.clear()
+                self.matches, self.old_matches = _aged(self.matches, self.old_matches, 1)
                 self.matches[m] = ids
         return ids
 
@@ -181,10 +189,12 @@ class TreeBPE:
         new = set(words).difference(self.words)
         if any(not w or w[0].isspace() or w[-1].isspace() for w in new):
             return False
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words = {w: self.words[w] for w in set(words).intersection(self.words)}
+        self.words, self.old_words = _aged(self.words, self.old_words, len(new))
+        if not self.words:                       # the words of this leaf are needed together
+            new = set(words)
         for w in new:
-            self.words[w] = self._matched(" " + w)
+            ids = self.old_words.get(w)
+            self.words[w] = self._matched(" " + w) if ids is None else ids
         return True
 
     def _matched(self, text: str) -> bytes:
@@ -228,10 +238,17 @@ def encode_texts(df: DataFrame, path: str, pattern: str, text_col: str = "text",
     return C.map_columns(df, [text_col], {ids_col: T.ArrayType(T.IntegerType(), False)}, make, rows=500)
 
 
+def int_lists(column: pa.ListArray):
+    """Python lists of an Arrow list column of integers; null reads as empty."""
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    for i in range(len(column)):
+        yield values[at[i]:at[i + 1]].tolist()
+
+
 def decode_ids(df: DataFrame, path: str, pattern: str, ids_col: str = "ids",
                out_col: str = "decoded") -> DataFrame:
     """``df`` with ``out_col`` (binary), the bytes of the tokens (null ids: no bytes)."""
     def make():
         dec = codec(path, pattern).decode
-        return lambda ids: [pa.array([dec(i or []) for i in ids.to_pylist()], pa.binary())]
+        return lambda ids: [pa.array([dec(i) for i in int_lists(ids)], pa.binary())]
     return C.map_columns(df, [ids_col], {out_col: T.BinaryType()}, make, rows=500)

@@ -61,7 +61,7 @@ def _ids_text_digest():
 
     def work(ids):
         n, sha = [], []
-        for doc in ids.to_pylist():
+        for doc in bpe.int_lists(ids):
             top = max(doc, default=-1)
             if top >= len(names):
                 names.extend(map(str, range(len(names), top + 1)))
