@@ -102,6 +102,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
                     out.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
+        enc.trim()
 
     return docs.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
                            + (", ids binary" if keep_ids else ""))

@@ -42,7 +42,9 @@ from postflow.llm import common as C
 LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1           # grams in a window
-BATCH = 400_000                    # windows sorted together
+BATCH = 150_000                    # windows sorted together
+BLOCK = 1 << 19                    # windows hashed together
+CHUNK = 4 << 20                    # bytes of a chunk
 NO_ID = np.iinfo(np.int64).max
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 LOW = np.uint64((1 << 24) - 1)
@@ -70,8 +72,8 @@ def runs(raw: np.ndarray, at: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray,
         valid[at[d]:at[d + 1]] = False
     padded = np.concatenate([raw, np.zeros(16, np.uint8)])
     out = []
-    for lo in range(0, n, 1 << 22):
-        hi = min(n, lo + (1 << 22))
+    for lo in range(0, n, BLOCK):
+        hi = min(n, lo + BLOCK)
         m = hi - lo + SPAN - 1                           # grams of these windows
         word = np.ndarray((m + 8,), "<u8", padded.data, offset=lo, strides=(1,))
         h = word[:m] * _K[0]
@@ -414,7 +416,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with four more columns, whose names (fresh in ``docs``) are returned by
     role: ``kept`` (binary, the remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans``."""
     names = {k: C.fresh_name(docs, k) for k in ("kept", "n_bytes", "n_removed", "n_spans")}
-    chunks = C.write_chunks(docs)
+    chunks = C.write_chunks(docs, CHUNK)
     work = _Dedup(id_col, text_col, max(64, chunks.count()))
     work.made = list(names.values())
     digests = C.checkpointed(chunks.mapInArrow(work.digests, "digest binary, doc long, chunk_id long, at int"))

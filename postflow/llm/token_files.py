@@ -122,6 +122,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, out_uri: str, end_id: int
                         file, seq = None, seq + 1
         if file is not None:
             done.append(((part << 32) | seq, *file.close()))
+        enc.trim()
         if done:
             no, uri, n_tokens, n_docs = zip(*done)
             yield pa.RecordBatch.from_pydict({

@@ -17,6 +17,7 @@ import numpy as np
 
 SEP = "\x01"            # stands between cached words in one library call
 MAX_WORDS = 250_000     # entries of each of two generations, about 100 MB together
+KEPT_WORDS = 50_000     # entries kept when a task ends
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 
 
@@ -37,6 +38,12 @@ class WordCachedEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def trim(self) -> None:
+        """Keep a small cache between tasks; the worker may run other operators next."""
+        self.old_words = {}
+        if len(self.words) > KEPT_WORDS:
+            self.words = dict(list(self.words.items())[:KEPT_WORDS])
+
     def _learn(self, new: list[str]) -> None:
         """Encode words in a few library calls, one separator word after each."""
         plain = [w for w in new if SEP not in w]
