@@ -24,10 +24,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from postflow.session import checkpoint_root
 
 CHUNK_BYTES = 8 << 20
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 MAX_BUCKETS = 100_000       # what Spark allows a table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -57,6 +60,13 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows here hold whole texts, so Arrow batches of Spark's default of 10,000 rows are
+    too large for small executors: take ``BATCH_ROWS``, unless the session sets its own."""
+    if BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: cuts lineage, survives lost executors."""
     checkpoint_root(df.sparkSession)
@@ -94,6 +104,7 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType]
     ``fn()`` runs once per task and returns a function that takes one Arrow
     array per input and returns one list or array per output column.
     """
+    small_batches(df.sparkSession)
     new = {k.lower() for k in outputs}
     stay = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
     schema = T.StructType([*(df.schema.fields[i] for i in stay), *[T.StructField(k, v, True) for k, v in outputs.items()]])
@@ -134,6 +145,7 @@ def write_chunks(df: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     and see the same chunks even if executors are lost in between.
     """
     spark = df.sparkSession
+    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
