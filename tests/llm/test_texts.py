@@ -323,3 +323,39 @@ def test_hpy_predictive_sums_to_one():
     mine = b.context == ctx
     rest = 1 - top[b.word[mine]].sum()                   # words not seen here, and the unknown one
     assert math.isclose(b.predictive(total)[mine].sum() + back * rest, 1, rel_tol=1e-9)
+
+
+def test_hpy_contexts_are_words(spark):
+    """The two words before share a class, but not a restaurant."""
+    rows = [(i, " ".join(["aaing one", "bbing two"] * 5)) for i in range(60)] + [(1000 + i, t) for i, t in enumerate(
+        ["aaing one", "aaing two", "bbing one", "bbing two"])]
+    got = {r.doc_id: r.score for r in hpy.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000] + got[1003] > got[1001] + got[1002] + 1         # what follows cancels out
+
+
+def test_hpy_word_contexts_sum_to_one():
+    rng = np.random.default_rng(1)
+    code = np.unique(rng.integers(0, 200 * 50, 900))
+    word = np.unique(code // 50, return_inverse=True)[1]
+    data = {"word_step": hpy._steps(word), "context": (code % 50).astype(np.uint32), "klass": np.arange(50, dtype=np.uint8) % hpy.CONTEXTS,
+            "c": rng.integers(1, 9, len(code))}
+    v = int(word[-1]) + 1
+    b = hpy.Seating(0, data, {"seed": 1, "theta": 1.0, "d_word": 0.7, "d": 0.6, "d_top": 0.5, "base": 1 / (v + 1)})
+    customers = b.per_context(b.c)
+    for turn in (1, 2):
+        b.sweep(turn, b.classes.totals().astype(float), b.per_context(b.t))
+    assert (b.t >= 1).all() and (b.t <= b.c).all() and b.classes.c.sum() == b.t.sum()
+    total, tables = b.classes.totals().astype(float), b.per_context(b.t)
+    c = b.classes
+    top = c.top_prob(total)
+    for ctx in range(50):
+        k = ctx % hpy.CONTEXTS
+        klass = (1.0 + 0.6 * total[k, 1]) / (1.0 + total[k, 0]) * top       # every word's probability in the class
+        seen = c.context == k
+        klass[c.word[seen]] = c.predictive(total)[seen]
+        unknown = (1.0 + 0.6 * total[k, 1]) / (1.0 + total[k, 0]) * (1 - top.sum())
+        assert math.isclose(klass.sum() + unknown, 1, rel_tol=1e-9)
+        back = (1.0 + 0.7 * tables[ctx]) / (1.0 + customers[ctx])
+        mine = b.context == ctx
+        rest = 1 - klass[b.word[mine]].sum()
+        assert math.isclose(b.predictive(total, tables, customers)[mine].sum() + back * rest, 1, rel_tol=1e-9)
