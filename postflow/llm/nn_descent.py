@@ -12,9 +12,12 @@
 4. Edges at or above the threshold form components. Inside a component all pairs
    are counted exactly, block against block, so a full list never hides a link
    and no pair is emitted.
-5. Recall is audited against brute force after ``least_rounds`` rounds: a bounded
-   sample of nodes meets all rows of its label in blocks, and a true link is found
-   if step 4 counts it. Below the target, refinement goes on, up to ``rounds``.
+5. Recall is audited against brute force after ``least_rounds`` rounds: a sample
+   of nodes meets all rows of its label in blocks, and a true link is found if step
+   4 counts it. The sample grows fourfold until it holds ``evidence`` true links or
+   ``audit_most`` nodes; without any true link the recall is unknown (None).
+   Refinement ends when the components stop growing and the recall is on target or
+   unknown. A recall below the target after ``rounds`` rounds is an error.
 
 Defined results: vectors with a null label, null or zero vectors, vectors with
 null or non-finite components, and null ids link with nothing (0 links, own
@@ -92,11 +95,23 @@ def _start(nodes: DataFrame, n_nodes: int, orders: int, reach: int) -> DataFrame
     return ahead.select("a", near.alias("b")).where("b IS NOT NULL").distinct()
 
 
-def _audit(nodes: DataFrame, sample: int, threshold: float) -> DataFrame:
-    """All links (a, b) of a bounded sample of nodes, by brute force in blocks."""
-    probe = nodes.orderBy(F.xxhash64("node", F.lit(23))).limit(sample).select("node", "label", "unit").collect()
+def _audit(nodes: DataFrame, sample: int, threshold: float, evidence: int, most: int) -> tuple[DataFrame, int]:
+    """All links (a, b) of a sample of nodes that holds ``evidence`` links, or ``most`` nodes, and their number."""
+    truth, n_true, done = None, 0, 0
+    while True:
+        probe = (nodes.orderBy(F.xxhash64("node", F.lit(23)), "node").limit(sample).select("node", "label", "unit").collect())[done:]
+        if truth is None or probe:
+            more = _links_of(nodes, probe, threshold)
+            truth, n_true, done = more if truth is None else truth.union(more), n_true + more.count(), done + len(probe)
+        if n_true >= evidence or sample >= most or done < sample:
+            return truth, n_true
+        sample = min(4 * sample, most)
+
+
+def _links_of(nodes: DataFrame, probe: list, threshold: float) -> DataFrame:
+    """All links (a, b) of the nodes ``probe``, by brute force in blocks."""
     shared = nodes.sparkSession.sparkContext.broadcast(
-        [(r.node, r.label, np.frombuffer(bytes(r.unit), "<f8")) for r in probe])            # ``sample`` vectors
+        [(r.node, r.label, np.frombuffer(bytes(r.unit), "<f8")) for r in probe])            # ``audit_most`` vectors at most
 
     def run(batches):
         by: dict = {}
@@ -108,11 +123,12 @@ def _audit(nodes: DataFrame, sample: int, threshold: float) -> DataFrame:
             units = [np.frombuffer(u, "<f8") for u in b.column(2).to_pylist()]
             for key, mine in by.items():
                 at = [i for i, u in enumerate(units) if (labels[i], len(u)) == key]
-                if at:
-                    sims = np.stack([u for _, u in mine]) @ np.stack([units[i] for i in at]).T
+                there = np.stack([units[i] for i in at]).T if at else None
+                for lo in range(0, len(mine) if at else 0, BLOCK):
+                    sims = np.stack([u for _, u in mine[lo:lo + BLOCK]]) @ there
                     for r, s in zip(*np.nonzero(sims >= threshold)):
-                        if mine[r][0] != ids[at[s]]:
-                            a.append(mine[r][0])
+                        if mine[lo + r][0] != ids[at[s]]:
+                            a.append(mine[lo + r][0])
                             c.append(int(ids[at[s]]))
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
     return C.checkpointed(nodes.select("node", "label", "unit").mapInArrow(run, "a long, b long"))
@@ -199,20 +215,19 @@ def _counts(nodes: DataFrame, label_of: DataFrame, threshold: float) -> DataFram
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rounds: int = 8, least_rounds: int = 2, orders: int = 6, reach: int = 2,
-                    target: float = 0.98, audit: int = 256, id_col: str = "vec_id", vector_col: str = "embedding",
+                    target: float = 0.98, audit: int = 256, evidence: int = 50, audit_most: int = 16384, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", report: dict | None = None) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept. ``report`` receives the audited recall per round."""
+    """One row per vector: vec_id, n_links, component_id, kept. ``report`` receives the audited recall per round, and the true links it rests on."""
     rows = C.checkpointed(_nodes(C.pick(vectors, vec_id=id_col, label=label_col, v=vector_col)
                                  .select(F.col("vec_id").cast("long").alias("vec_id"), "label", "v")))
     linked = rows.where("unit IS NOT NULL").withColumn("node", F.xxhash64("label", "unit"))
     nodes = C.checkpointed(linked.groupBy("node", "label", "unit").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")))
-    truth = _audit(nodes, audit, threshold)
-    n_true = truth.count()
+    truth, n_true = _audit(nodes, audit, threshold, evidence, audit_most)
 
     limits = nodes.where("false").select(F.col("node").alias("a"), F.lit(k).alias("k"))
     start = _scored(_start(nodes, nodes.count(), orders, reach), nodes).withColumn("fresh", F.lit(1))
     graph = C.checkpointed(_best(start, limits, k))
-    history, label_of = [], None
+    history, label_of, grown = [], None, None
     for turn in range(rounds):
         full = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.count("*").alias("n"), F.max("k").alias("k"))
         limits = full.select("a", F.when((F.col("n") >= F.col("k")) & (F.col("worst") >= threshold), 2 * F.col("k"))
@@ -220,17 +235,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rou
         better = _join_lists(graph, nodes, k, floor=-1.0).withColumn("fresh", F.lit(1))
         old = graph.select("a", "b", "sim", F.lit(0).alias("fresh"))
         graph = C.checkpointed(_best(better.union(old), limits, k))
-        if turn + 1 < least_rounds:
+        if turn + 2 < least_rounds:
             continue
         # a link counts as found if its ends share a component: there all pairs are counted below
         label_of = C.checkpointed(connected_components(graph.where(F.col("sim") >= threshold).select("a", "b")))
+        before, grown = grown, (label_of.count(), label_of.select("component").distinct().count())
+        if turn + 1 < least_rounds:
+            continue
         ends = truth.join(label_of.withColumnsRenamed({"node": "a", "component": "ca"}), "a").join(
             label_of.withColumnsRenamed({"node": "b", "component": "cb"}), "b")
-        history.append(ends.where("ca = cb").count() / n_true if n_true else 1.0)
-        if history[-1] >= target:
+        history.append(ends.where("ca = cb").count() / n_true if n_true else None)
+        if grown == before and (history[-1] is None or history[-1] >= target):
             break
     if report is not None:
-        report["recall"] = history
+        report |= {"recall": history, "true_links": n_true}
+    if history[-1] is not None and history[-1] < target:
+        raise RuntimeError(f"audited recall {history[-1]:.4f} of {n_true} links is below {target} after {rounds} rounds")
 
     counts = _counts(nodes, label_of, threshold)
     rooted = (nodes.join(label_of, "node", "left").join(counts, "node", "left")

@@ -97,3 +97,16 @@ def test_nn_descent_dense_group_and_blocks(spark, monkeypatch):
 
 def test_nn_descent_empty(spark):
     assert nn_descent.near_duplicates(frame(spark, clustered()).where("false")).count() == 0
+
+
+def test_nn_descent_audit_needs_evidence(spark):
+    rng = np.random.default_rng(3)
+    far = [(i, [float(np.float32(x)) for x in rng.normal(size=32)], 1) for i in range(120)]
+    report = {}
+    nn_descent.near_duplicates(frame(spark, far), report=report).count()
+    assert report["true_links"] == 0 and set(report["recall"]) == {None}
+    rows = far + [(1000, far[7][1][:31] + [far[7][1][31] + 0.01], 1)]
+    report = {}
+    got = nn_descent.near_duplicates(frame(spark, rows), audit=1, report=report).collect()
+    assert report["true_links"] == 2 and report["recall"][-1] == 1.0
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
