@@ -6,7 +6,9 @@
    (several orders, per label) and is refined: each node's list, its own
    neighbours plus the nodes that list it, is joined with itself, so neighbours
    of neighbours meet; every list keeps its best ``k``. Only lists with a new
-   member are joined again, and of those only pairs with a new member.
+   member are joined again, and of those only pairs with a new member. A join takes
+   three times the node's own ``k`` members, new ones first; those it leaves out
+   stay new for the next round.
 3. A list whose last neighbour still reaches the threshold is saturated: its
    ``k`` doubles, so dense groups keep growing lists.
 4. Edges at or above the threshold form components. Inside a component all pairs
@@ -160,14 +162,19 @@ def _best(edges: DataFrame, limits: DataFrame, k: int) -> DataFrame:
                   .select("a", "b", "sim", "fresh", "rank", F.coalesce("k", F.lit(k)).alias("k")))
 
 
-def _join_lists(graph: DataFrame, nodes: DataFrame, k: int, floor: float) -> DataFrame:
-    """One refinement: pairs that meet in some node's list and include a fresh member."""
-    # a node's list: its neighbours and up to 2k of the nodes that list it, nearest first
+def _lists(graph: DataFrame) -> DataFrame:
+    """(node, member, sim, fresh, rank, joined): a node's neighbours and the nodes that list it, new ones and nearest first."""
     w = Window.partitionBy("node").orderBy(F.desc("fresh"), F.desc("sim"), "member")
-    forth = graph.select(F.col("a").alias("node"), F.col("b").alias("member"), "sim", "fresh")
-    back = graph.select(F.col("b").alias("node"), F.col("a").alias("member"), "sim", "fresh")
-    lists = (forth.union(back).groupBy("node", "member").agg(F.max("sim").alias("sim"), F.max("fresh").alias("fresh"))
-                  .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 3 * k))
+    forth = graph.select(F.col("a").alias("node"), F.col("b").alias("member"), "sim", "fresh", F.col("k"))
+    back = graph.select(F.col("b").alias("node"), F.col("a").alias("member"), "sim", "fresh", F.lit(None).cast("int").alias("k"))
+    own = Window.partitionBy("node")
+    return (forth.union(back).groupBy("node", "member").agg(*[F.max(c).alias(c) for c in ("sim", "fresh", "k")])
+                 .withColumn("k", F.max("k").over(own)).withColumn("rank", F.row_number().over(w)))
+
+
+def _join_lists(graph: DataFrame, all_lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One refinement: pairs that meet in some node's list and include a fresh member."""
+    lists = all_lists.where("joined")
     live = lists.groupBy("node").agg(F.max("fresh").alias("any")).where("any = 1").select("node")
     worst = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.count("*").alias("n"), F.max("k").alias("k"))
     worst = worst.select(F.col("a").alias("member"), F.when(F.col("n") < F.col("k"), F.lit(-2.0)).otherwise(F.col("worst")).alias("worst"))
@@ -178,11 +185,16 @@ def _join_lists(graph: DataFrame, nodes: DataFrame, k: int, floor: float) -> Dat
     def meet(key, t):
         ids, fresh, worst = (t.column(c).to_numpy() for c in ("member", "fresh", "worst"))
         m = np.stack([np.frombuffer(u, "<f8") for u in t.column("unit").to_pylist()])
-        sims = m @ m.T
-        i, j = np.triu_indices(len(ids), 1)
-        s = sims[i, j]
-        use = ((fresh[i] | fresh[j]) > 0) & ((s > worst[i]) | (s > worst[j])) & (s >= floor)
-        return pa.table({"a": ids[i[use]], "b": ids[j[use]], "sim": s[use]})
+        out = []
+        for lo in range(0, len(ids), BLOCK):             # a long list meets itself block against block
+            for at in range(lo, len(ids), BLOCK):
+                s = m[lo:lo + BLOCK] @ m[at:at + BLOCK].T
+                i, j = np.triu_indices(len(s), 1) if at == lo else (x.ravel() for x in np.indices(s.shape))
+                s, i, j = s[i, j], i + lo, j + at
+                use = ((fresh[i] | fresh[j]) > 0) & ((s > worst[i]) | (s > worst[j]))
+                out.append((ids[i[use]], ids[j[use]], s[use]))
+        a, b, s = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"a": a, "b": b, "sim": s})
 
     pairs = member.groupBy("node").applyInArrow(meet, "a long, b long, sim double").groupBy("a", "b").agg(F.max("sim").alias("sim"))
     return pairs.union(pairs.select("b", "a", "sim")).groupBy("a", "b").agg(F.max("sim").alias("sim"))
@@ -232,8 +244,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 6, rou
         full = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.count("*").alias("n"), F.max("k").alias("k"))
         limits = full.select("a", F.when((F.col("n") >= F.col("k")) & (F.col("worst") >= threshold), 2 * F.col("k"))
                                    .otherwise(F.col("k")).alias("k"))
-        better = _join_lists(graph, nodes, k, floor=-1.0).withColumn("fresh", F.lit(1))
-        old = graph.select("a", "b", "sim", F.lit(0).alias("fresh"))
+        lists = C.checkpointed(_lists(graph).withColumn("joined", F.col("rank") <= 3 * F.coalesce("k", F.lit(k))))
+        better = _join_lists(graph, lists, nodes).withColumn("fresh", F.lit(1))
+        # an edge is old once both its ends have met the other's list; what a cut left out stays fresh
+        left = lists.where("fresh = 1 AND NOT joined").select("node", "member")
+        left = left.union(left.select("member", "node")).distinct().select(F.col("node").alias("a"), F.col("member").alias("b"), F.lit(1).alias("left"))
+        old = graph.join(left, ["a", "b"], "left").select("a", "b", "sim", F.coalesce("left", F.lit(0)).alias("fresh"))
         graph = C.checkpointed(_best(better.union(old), limits, k))
         if turn + 2 < least_rounds:
             continue

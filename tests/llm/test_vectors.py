@@ -110,3 +110,17 @@ def test_nn_descent_audit_needs_evidence(spark):
     got = nn_descent.near_duplicates(frame(spark, rows), audit=1, report=report).collect()
     assert report["true_links"] == 2 and report["recall"][-1] == 1.0
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
+
+
+def test_nn_descent_joins_own_list_length(spark):
+    """A node with a list of 12 meets 36 members; those left out come first in the next round."""
+    graph = spark.createDataFrame([(0, i, 1.0 - i / 1000, 1, 12) for i in range(1, 61)], "a long, b long, sim double, fresh int, k int")
+    lists = nn_descent._lists(graph).where("node = 0").withColumn("joined", nn_descent.F.expr("rank <= 3 * k"))
+    assert sorted(r.member for r in lists.where("joined").collect()) == list(range(1, 37))
+    units = np.eye(61)
+    nodes = spark.createDataFrame([(i, u.tobytes()) for i, u in enumerate(units)], "node long, unit binary")
+    met = {(r.a, r.b) for r in nn_descent._join_lists(graph, lists, nodes).collect()}
+    assert {(a, b) for a in range(1, 37) for b in range(1, 37) if a != b} == met
+    aged = graph.withColumn("fresh", nn_descent.F.expr("IF(b <= 36, 0, 1)"))
+    first = nn_descent._lists(aged).where("node = 0 AND rank <= 24").collect()
+    assert sorted(r.member for r in first) == list(range(37, 61))
