@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postflow.llm import bpe, hpy, langid, nn_descent, packing, quality, simhash, suffix_dedup, token_files, topk
+from postflow.llm import (
+    alignment, bpe, conversations, hpy, langid, nn_descent, packing, quality, sharding, simhash, suffix_dedup, token_files, topk,
+)
 from postflow.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,13 +102,32 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
+def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report = conversations.repair_report(conversations.damage(rows))
+    return conversations.all_conversations(rows, report)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = alignment.align_documents(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.balanced_shards(C.table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op8_hpy, op9_langid, op10_token_files, pipeline)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_simhash, op3_quality, op4_nn_descent, op5_topk, op6_suffix_dedup, op7_byte_bpe, op8_hpy, op9_langid, op10_token_files, op11_role_repair, op12_alignment,
+                                              op13_sharding, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
 
 

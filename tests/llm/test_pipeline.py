@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert names <= set(E.queries()) and corpus_pipeline.ORACLE_SQL is None
     assert len(corpus_pipeline.STAGES) == 5
 
