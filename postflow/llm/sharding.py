@@ -1,10 +1,11 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced jointly.
 
-Documents of equal text form a group, and a group goes to one shard unless no
-shard has room for it. Groups are placed in decreasing size; each goes, among the
-shards that still have room for its bytes, to the one where the dot product of its
-vector (bytes, tokens, rows) with the shard's residual capacity is highest. The
-vectors are in units of a shard's share, so the three count alike.
+Documents of equal text form a group, and a group goes to one shard unless it is more
+than a shard's share or no shard has room for it. Groups are placed in decreasing order
+of their largest component; each goes, among the shards that still have room for its
+bytes, to the one where the dot product of its vector (bytes, tokens, rows) with the
+shard's residual capacity is highest. The vectors are in units of a shard's share, so
+the three count alike.
 
 * Heavy groups, over 1/``HEAVY`` of a shard's share in bytes, tokens or rows, are at
   most 3 x ``HEAVY`` x shards, whatever the table's size. They are placed first, on the
@@ -63,23 +64,22 @@ def place_heavy(groups: np.ndarray, rows: np.ndarray, residual: np.ndarray) -> l
     """[(shard, rows)] of each group in placing order; one that fits nowhere whole is cut by rows."""
     out = []
     for g, n in zip(groups, rows.tolist()):
-        room = residual[:, 0] >= g[0]
-        if room.any() or n == 1:
-            best = int(place_groups(g[None], residual)[0])
-            out.append([(best, n)])
+        if n == 1 or (g.max() <= 1 and (residual[:, 0] >= g[0]).any()):
+            out.append([(int(place_groups(g[None], residual)[0]), n)])
             continue
-        one, parts, left = g / n, [], n
-        for s in np.argsort(-residual[:, 0], kind="stable").tolist():
-            take = min(left, max(0, int(residual[s, 0] // one[0])))
-            if take:
-                parts.append((s, take))
+        one, left, taken = g / n, n, np.zeros(len(residual), np.int64)
+        for dims in (slice(None), slice(0, 1)):               # room in everything first, then in bytes
+            for s in np.argsort(-residual[:, 0], kind="stable").tolist():
+                most = np.min(residual[s, dims][one[dims] > 0] / one[dims][one[dims] > 0])
+                take = min(left, max(0, int(most)))
                 residual[s] -= one * take
+                taken[s] += take
                 left -= take
-        for _ in range(left):                     # fewer than one row a shard: every shard's room is below a row
+        for _ in range(left):                     # no shard has room for one more row; fewer rows than shards are left
             s = int(np.argmax(residual[:, 0]))
-            parts.append((s, 1))
             residual[s] -= one
-        out.append(parts)
+            taken[s] += 1
+        out.append([(s, t) for s, t in enumerate(taken.tolist()) if t])
     return out
 
 
@@ -124,7 +124,8 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     for c, s in zip(DIMS, share.tolist()):
         is_heavy = is_heavy | (F.col(c) * heavy > s)
     residual = np.ones((shards, len(DIMS)))
-    big = groups.where(is_heavy).orderBy(F.desc("bytes"), F.desc("tokens"), "digest").collect()   # 3 * heavy * shards rows at most
+    big = groups.where(is_heavy).collect()                    # 3 * heavy * shards rows at most
+    big.sort(key=lambda r: (-max(r[c] / s for c, s in zip(DIMS, share.tolist())), bytes(r["digest"])))
     sizes = np.array([[r[c] for c in DIMS] for r in big], float).reshape(-1, len(DIMS)) / share
     parts = place_heavy(sizes, np.array([r["rows"] for r in big], np.int64), residual)
 
@@ -133,8 +134,10 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     part_of = room / whole                                    # each shard's part of what a block holds
 
     def pack(key, t):
-        t = t.sort_by([("bytes", "descending"), ("tokens", "descending"), ("digest", "ascending")])
+        t = t.sort_by("digest")
         own = np.stack([t.column(c).to_numpy().astype(float) for c in DIMS], axis=1) / share
+        order = np.argsort(-own.max(axis=1), kind="stable")
+        t, own = t.take(pa.array(order)), own[order]
         turn = int(key[0].as_py()) % shards                   # ties fall on another shard in each block
         capacity = np.roll(part_of * own.sum(axis=0), -turn, axis=0)
         placed = (place_groups(own, capacity) + turn) % shards
