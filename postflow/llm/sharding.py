@@ -5,7 +5,7 @@ than a shard's share or no shard has room for it. Groups are placed in decreasin
 of their largest component; each goes, among the shards that still have room for its
 bytes, to the one where the dot product of its vector (bytes, tokens, rows) with the
 shard's residual capacity is highest. The vectors are in units of a shard's share, so
-the three count alike.
+the three count alike. A few small moves then even out the bytes.
 
 * Heavy groups, over 1/``HEAVY`` of a shard's share in bytes, tokens or rows, are at
   most 3 x ``HEAVY`` x shards, whatever the table's size. They are placed first, on the
@@ -60,6 +60,21 @@ def place_groups(groups: np.ndarray, residual: np.ndarray) -> np.ndarray:
     return out
 
 
+def even_out(groups: np.ndarray, placed: np.ndarray, residual: np.ndarray) -> None:
+    """Move groups from the fullest shard to the emptiest, each the one nearest to half their difference in
+    bytes, while that brings them closer; at most 8 moves a shard."""
+    for _ in range(8 * len(residual)):
+        full, bare = int(np.argmin(residual[:, 0])), int(np.argmax(residual[:, 0]))
+        gap = residual[bare, 0] - residual[full, 0]
+        own = np.flatnonzero((placed == full) & (groups[:, 0] < gap))
+        if not len(own):
+            return
+        move = own[np.argmin(np.abs(groups[own, 0] - gap / 2))]
+        placed[move] = bare
+        residual[full] += groups[move]
+        residual[bare] -= groups[move]
+
+
 def place_heavy(groups: np.ndarray, rows: np.ndarray, residual: np.ndarray) -> list[list[tuple[int, int]]]:
     """[(shard, rows)] of each group in placing order; one that fits nowhere whole is cut by rows."""
     out = []
@@ -80,6 +95,11 @@ def place_heavy(groups: np.ndarray, rows: np.ndarray, residual: np.ndarray) -> l
             residual[s] -= one
             taken[s] += 1
         out.append([(s, t) for s, t in enumerate(taken.tolist()) if t])
+    whole = [i for i, p in enumerate(out) if len(p) == 1]
+    placed = np.array([out[i][0][0] for i in whole], np.int64)
+    even_out(groups[whole], placed, residual)
+    for i, s in zip(whole, placed.tolist()):
+        out[i] = [(s, out[i][0][1])]
     return out
 
 
@@ -140,8 +160,9 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
         t, own = t.take(pa.array(order)), own[order]
         turn = int(key[0].as_py()) % shards                   # ties fall on another shard in each block
         capacity = np.roll(part_of * own.sum(axis=0), -turn, axis=0)
-        placed = (place_groups(own, capacity) + turn) % shards
-        return pa.table({"digest": t.column("digest"), "shard": pa.array(placed, pa.int32())})
+        placed = place_groups(own, capacity)
+        even_out(own, placed, capacity)
+        return pa.table({"digest": t.column("digest"), "shard": pa.array((placed + turn) % shards, pa.int32())})
 
     block = F.pmod(F.xxhash64("digest"), F.lit(blocks)).alias("block")
     light = groups.where(~is_heavy).withColumn("block", block).groupBy("block").applyInArrow(pack, "digest binary, shard int")

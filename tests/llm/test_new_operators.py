@@ -315,5 +315,5 @@ def test_op13_contract(spark):
     rows = queries.op13_sharding(spark, SF).collect()
     texts = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     sizes = check_shards(rows, texts, 16)
-    assert max(sizes) - min(sizes) <= 0.02 * sum(sizes) / 16
+    assert max(sizes) - min(sizes) <= 0.002 * sum(sizes) / 16 or max(r.size for r in rows) > sum(sizes) / 16
     assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
