@@ -33,8 +33,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +49,12 @@ CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 1 << 16
 ROWS = 500                   # documents aligned at a time
 B_BITS = 20                  # an id pair is a << B_BITS | b
-MAX_WORDS = 100_000          # of each of two generations of cached words
+MAX_WORDS = 250_000          # of each of two generations of cached words, some 350 bytes each
+LINE_WORDS = 2000            # new words in one call of a library
 LONG_WORD = 256              # longer words are aligned each time
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
+UNSEEN = object()
 _ALIGNERS: dict[tuple[str, str], "PairAligner"] = {}
 
 
@@ -65,7 +67,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class PairAligner:
-    """Aligned words: (tokens of A, of B, groups, linked pairs as int64 bytes, groups text),
+    """Aligned words: (tokens of A, of B, groups, linked pairs as int64 bytes, groups text with a final ";"),
     or None for a word that a tokenizer does not give back."""
 
     def __init__(self, a_path: str, b_path: str):
@@ -78,50 +80,84 @@ class PairAligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         of = byte_alphabet()
         vocab = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(map(of.__getitem__, t)) for t, i in vocab.items() if all(c in of for c in t)}
+        self.a_bytes = {i: bytes(of.get(c, 0) for c in t) for t, i in vocab.items()}
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))]
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)], np.int64)
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.texts = pa.array([f"{i}{end}" for n, last in ((len(self.a_size), "|"), (len(self.b_size), ";"))
+                               for i in range(n) for end in (",", last)])
         self.words: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        """The alignment of ``raw`` cut into ids ``a`` and ids ``b``; None if one does not give it back."""
-        left, right = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
+    def align_word(self, word: str) -> tuple | None:
+        """The alignment of one word; None if a tokenizer does not give it back."""
+        raw = (" " + word).encode()
+        a, b = self.a.encode(" " + word, add_special_tokens=False).ids, self.b.encode(word)
+        left, right = list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))
         if b"".join(left) != raw or b"".join(right) != raw:
             return None
-        pairs, text = array("q"), []
-        i = j = at = to = from_a = from_b = 0
-        while i < len(a) or j < len(b):
-            if at <= to and i < len(a):
-                at += len(left[i])
-                i += 1
-            else:
-                to += len(right[j])
-                j += 1
-            if at == to:
-                pairs.append(a[i - 1] << B_BITS | b[j - 1])
-                text.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                from_a, from_b = i, j
-        return len(a), len(b), len(pairs), pairs.tobytes(), ";".join(text)
-
-    def learn(self, new: list[str]) -> dict[str, tuple | None]:
-        led = [" " + w for w in new]
-        a = self.a.encode_batch_fast(led, add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
-        return {w: self.align(t.encode(), x.ids, y) for w, t, x, y in zip(new, led, a, b)}
+        ends_a, ends_b = list(accumulate(map(len, left))), list(accumulate(map(len, right)))
+        both = set(ends_a).intersection(ends_b)
+        groups = zip(*("".join([f"{i};" if e in both else f"{i}," for i, e in zip(ids, ends)])[:-1].split(";")
+                       for ids, ends in ((a, ends_a), (b, ends_b))))
+        last = zip(*([i for i, e in zip(ids, ends) if e in both] for ids, ends in ((a, ends_a), (b, ends_b))))
+        pairs = b"".join([(x << B_BITS | y).to_bytes(8, "little") for x, y in last])
+        return len(a), len(b), len(both), pairs, "".join([f"{x}|{y};" for x, y in groups])
+
+    def align_line(self, words: list[str]) -> list[tuple] | None:
+        """Alignments of words that neither start nor end with white space, from one call of each library
+        over all of them with single spaces between; None if one of the words is not given back."""
+        line = " ".join(words)
+        raw = (" " + line).encode()
+        a = np.array(self.a.encode(" " + line, add_special_tokens=False).ids, np.int64)
+        b = np.array(self.b.encode(line), np.int64)
+        if any(b"".join(map(of.__getitem__, ids.tolist())) != raw for of, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            return None
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        word_ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if not np.isin(word_ends, both).all():
+            return None
+        at_a, at_b = np.searchsorted(ends_a, both), np.searchsorted(ends_b, both)
+        pairs = (a[at_a] << B_BITS | b[at_b]).astype("<i8").tobytes()
+        n_a, n_b, n = (np.diff(np.searchsorted(e, word_ends, "right"), prepend=0) for e in (ends_a, ends_b, both))
+        code_a, code_b = 2 * a, 2 * (b + len(self.a_size))             # odd: last token of its group
+        code_a[at_a] += 1
+        code_b[at_b] += 1
+        order = np.argsort(np.concatenate([2 * np.searchsorted(both, ends_a), 2 * np.searchsorted(both, ends_b) + 1]), kind="stable")
+        strings = self.texts.take(pa.array(np.concatenate([code_a, code_b])[order]))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(n_a + n_b)]), pa.int32())
+        text = pc.binary_join(pa.ListArray.from_arrays(offsets, strings), "").to_pylist()
+        stop = (8 * np.cumsum(n)).tolist()
+        return [(x, y, g, pairs[e - 8 * g:e], t) for x, y, g, e, t in zip(n_a.tolist(), n_b.tolist(), n.tolist(), stop, text)]
+
+    def learn(self, new: list[str]) -> list[tuple | None]:
+        out: list[tuple | None] = [None] * len(new)
+        plain = [i for i, w in enumerate(new) if w and not w[0].isspace() and not w[-1].isspace() and SPACE_MARK not in w]
+        for k in range(0, len(plain), LINE_WORDS):
+            at = plain[k:k + LINE_WORDS]
+            words = [new[i] for i in at]
+            for i, x in zip(at, self.align_line(words) or map(self.align_word, words)):
+                out[i] = x
+        for i in set(range(len(new))).difference(plain):
+            out[i] = self.align_word(new[i])
+        return out
 
     def look_up(self, words: list[str]) -> list[tuple | None]:
+        """The alignments of distinct ``words``."""
         if len(self.words) > MAX_WORDS:
             self.words, self.old = {}, self.words
-        missing = [w for w in words if w not in self.words]
-        known = {w: self.old[w] for w in missing if w in self.old}
-        new = [w for w in missing if w not in known]
-        made: dict[str, tuple | None] = {}
-        for i in range(0, len(new), 4000):
-            made |= self.learn(new[i:i + 4000])
-        here = known | made
-        out = [self.words[w] if w in self.words else here[w] for w in words]
-        self.words |= {w: x for w, x in here.items() if len(w) <= LONG_WORD}
+        out = list(map(self.words.get, words, repeat(UNSEEN)))
+        missing = [i for i, x in enumerate(out) if x is UNSEEN]
+        new = []
+        for i in missing:
+            out[i] = self.old.get(words[i], UNSEEN)
+            if out[i] is UNSEEN:
+                new.append(i)
+        for i, x in zip(new, self.learn([words[i] for i in new])):
+            out[i] = x
+        self.words.update((words[i], out[i]) for i in missing if len(words[i]) <= LONG_WORD)
         return out
 
     def trim(self) -> None:
@@ -136,20 +172,21 @@ def aligner(a_path: str, b_path: str) -> PairAligner:
     return _ALIGNERS[a_path, b_path]
 
 
-def cut_words(texts: pa.Array) -> pa.ListArray:
-    """Each text cut at every single space between two characters that are no white space."""
+def cut_words(texts: pa.Array) -> tuple[pa.ListArray, pa.DictionaryArray]:
+    """Each text cut at every single space between two characters that are no white space, and all words encoded."""
     lists = pc.split_pattern(texts, " ")
     kinds = lists.values.dictionary_encode()
     edge = np.array([not w or w[0].isspace() or w[-1].isspace() for w in kinds.dictionary.to_pylist()], bool)
     if not edge.any():
-        return lists
+        return lists, kinds
     odd = np.zeros(len(texts), bool)
     odd[pc.list_parent_indices(lists).to_numpy()[edge[kinds.indices.to_numpy()]]] = True
     at = np.flatnonzero(odd)
     own = pa.array([CUT.split(t) for t in texts.take(pa.array(at)).to_pylist()], lists.type)
     order = np.arange(len(texts))
     order[at] = len(texts) + np.arange(len(at))
-    return pa.concat_arrays([lists, own]).take(pa.array(order))
+    lists = pa.concat_arrays([lists, own]).take(pa.array(order))
+    return lists, lists.flatten().dictionary_encode()
 
 
 class Aligned:
@@ -157,9 +194,8 @@ class Aligned:
 
     def __init__(self, tool: PairAligner, texts: pa.Array):
         n = len(texts)
-        lists = cut_words(pc.fill_null(texts, ""))
+        lists, kinds = cut_words(pc.fill_null(texts, ""))
         doc = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-        kinds = lists.flatten().dictionary_encode()
         found = tool.look_up(kinds.dictionary.to_pylist())
         none = (0, 0, 0, b"", "")
         bad = np.array([x is None for x in found], bool)
@@ -169,16 +205,17 @@ class Aligned:
         dead[doc[bad[word]]] = True
         dead |= pc.equal(pc.fill_null(pc.binary_length(texts), 0), 0).to_numpy(zero_copy_only=False)
         live = ~dead[doc]
-        size = np.array([x[:3] for x in found], np.int64).reshape(-1, 3)
+        *sizes, pairs, strings = zip(*found) if found else ((),) * 5
+        size = np.array(sizes, np.int64).reshape(3, -1).T
         sums = np.zeros((n, 3), np.int64)
         np.add.at(sums, doc[live], size[word[live]])
         self.n_a, self.n_b, self.n_groups = sums.T
-        links = np.frombuffer(b"".join(x[3] for x in found), np.int64)
+        links = np.frombuffer(b"".join(pairs), "<i8")
         first, count = (np.cumsum(size[:, 2]) - size[:, 2])[word[live]], size[word[live], 2]
         at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
         self.pair, self.doc = links[at], np.repeat(doc[live], count)
-        strings = pa.ListArray.from_arrays(lists.offsets, pa.array([x[4] for x in found], pa.string()).take(kinds.indices))
-        self.groups = pc.if_else(pa.array(dead), "", pc.binary_join(strings, ";"))
+        groups = pa.ListArray.from_arrays(lists.offsets, pa.array(strings, pa.string()).take(kinds.indices))
+        self.groups = pc.if_else(pa.array(dead), "", pc.replace_substring_regex(pc.binary_join(groups, ""), ";$", ""))
 
 
 class PairIndex:
