@@ -80,12 +80,13 @@ def drop_identical_records(df: DataFrame, feed: str) -> DataFrame:
 
 
 def clean_posts(df: DataFrame, dedup: str = "raw", sort: bool = False,
-                suffix_mode: str = "compat") -> DataFrame:
+                suffix_mode: str = "compat", keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw posts -> clean posts (``POSTS_COLUMNS``).
 
     ``dedup="raw"`` removes identical raw records first; ``"clean"`` removes
     identical clean rows last (it also merges ``12k`` with ``12000``);
-    ``"none"`` keeps every record (streams).
+    ``"none"`` keeps every record (streams). ``keep`` carries further columns
+    along (a record's arrival time).
     """
     _check(dedup)
     if dedup == "raw":
@@ -97,13 +98,13 @@ def clean_posts(df: DataFrame, dedup: str = "raw", sort: bool = False,
         "save_location": strip_text(F.col("save_location")),
         "tag_list": split_list(F.col("tag_list")),
         "downloaded": F.col("downloaded").try_cast("boolean"),
-    }).withColumnRenamed("index", "ind").select(*POSTS_COLUMNS)
+    }).withColumnRenamed("index", "ind").select(*POSTS_COLUMNS, *keep)
     if dedup == "clean":
         df = df.dropDuplicates()
     return df.orderBy("ind") if sort else df
 
 
-def clean_geo(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFrame:
+def clean_geo(df: DataFrame, dedup: str = "raw", sort: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw geo -> clean geo (``GEO_COLUMNS``): float coordinates packed into an
     array, timestamp parsed."""
     _check(dedup)
@@ -114,13 +115,13 @@ def clean_geo(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFram
         "ind": text_to_int(F.col("ind"), _dtype(df, "ind")),
         "coordinates": pack_array(F.col("latitude").try_cast("float"),
                                   F.col("longitude").try_cast("float")),
-    }).select(*GEO_COLUMNS)
+    }).select(*GEO_COLUMNS, *keep)
     if dedup == "clean":
         df = df.dropDuplicates()
     return df.orderBy("ind") if sort else df
 
 
-def clean_users(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFrame:
+def clean_users(df: DataFrame, dedup: str = "raw", sort: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw users -> clean users (``USERS_COLUMNS``): names joined, timestamp parsed."""
     _check(dedup)
     if dedup == "raw":
@@ -130,7 +131,7 @@ def clean_users(df: DataFrame, dedup: str = "raw", sort: bool = False) -> DataFr
         "ind": text_to_int(F.col("ind"), _dtype(df, "ind")),
         "age": text_to_int(F.col("age"), _dtype(df, "age")),
         "user_name": join_name("first_name", "last_name"),
-    }).select(*USERS_COLUMNS)
+    }).select(*USERS_COLUMNS, *keep)
     if dedup == "clean":
         df = df.dropDuplicates()
     return df.orderBy("ind") if sort else df

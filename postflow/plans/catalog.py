@@ -186,3 +186,4 @@ def oracle_sql() -> dict[str, str]:
 # Further keys register themselves on import.
 from postflow.plans import operator_keys  # noqa: E402,F401
 from postflow.plans import stream_keys  # noqa: E402,F401
+from postflow.plans import live_keys  # noqa: E402,F401

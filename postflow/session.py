@@ -89,6 +89,12 @@ def _file_system(spark: SparkSession, path: str):
     return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme by which Spark would open it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return _file_system(spark, path).makeQualified(at).toString()
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files below a path of any file system Spark reads."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -30,6 +30,7 @@ from postflow.functions.envelope import CORRUPT, decode_json, decode_json_checke
 from postflow.operators.clean import CLEANERS
 from postflow.schemas import STREAM
 from postflow.sources.files import first_start, read_stream
+from postflow.streaming.keyed import commit_batch
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("streamName", T.StringType(), True),
@@ -120,7 +121,9 @@ def start_append(df: DataFrame, table_path: str, checkpoint: str, fmt: str = "pa
     processing-time interval such as ``"10 seconds"``, or None (default
     micro-batches, run until stopped). ``sink="batches"`` is the idempotent
     per-batch writer described above, ``sink="table"`` the same writer into a
-    named table, ``sink="files"`` the plain file sink.
+    named table, ``sink="files"`` the plain file sink, ``sink="atomic"`` the
+    per-batch writer with one commit (``postflow.streaming.keyed.commit_batch``):
+    a reader, a downstream stream among them, sees a batch whole or not at all.
     """
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
@@ -131,7 +134,7 @@ def start_append(df: DataFrame, table_path: str, checkpoint: str, fmt: str = "pa
         writer = writer.trigger(processingTime=trigger)
     if sink == "files":
         return writer.format(fmt).option("path", table_path).start()
-    if sink not in ("batches", "table"):
+    if sink not in ("batches", "table", "atomic"):
         raise ValueError(f"unknown sink {sink!r}")
     run = _run_id(df.sparkSession, checkpoint)
 
@@ -139,6 +142,9 @@ def start_append(df: DataFrame, table_path: str, checkpoint: str, fmt: str = "pa
         if sink == "table":
             _append_to_table(batch, table_path, run, epoch, fmt)
             return
+        if sink == "atomic":
+            commit_batch(batch, table_path, run, epoch, fmt)
+            return
         batch.write.mode("overwrite").format(fmt).save(f"{table_path}/run={run}/batch={epoch}")
 
     return writer.foreachBatch(write_batch).start()
