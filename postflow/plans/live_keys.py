@@ -7,12 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from postflow.functions.envelope import decode_json
+from postflow.operators.incremental import IncrementalFeed
 from postflow.plans import questions as Q
 from postflow.plans.catalog import _COUNTS_BY_COUNTRY, REGISTRY, register
 from postflow.plans.oracle import POSTS_COLS, posts_ctes, with_clean, with_feeds
 from postflow.session import shared_dir
 from postflow.sources.files import read_stream
-from postflow.sources.fixtures import source_rows, table
+from postflow.sources.fixtures import posts_raw, source_rows, table
 from postflow.sources.sharded import put_records, read_record_stream, read_records
 from postflow.streaming.live import counts_table, join_live, start_counts
 from postflow.streaming.pipeline import RECORD_SCHEMA, clean_records, read_appended, start_append, start_feed, to_records
@@ -134,6 +135,17 @@ def _category_counts_live(spark, sf):
     return counts_table(joined, keys, f"{root}/counts").read()
 
 
+# --------------------------------------------------------------------------- incremental cleaning
+@register("clean_posts_incremental", with_clean(f"SELECT {POSTS_COLS} FROM posts"))
+def _clean_posts_incremental(spark, sf):
+    """A part of the feed on the first day, the whole feed (that part once more) on the second."""
+    feed = IncrementalFeed(spark, "posts", shared_dir(spark, "incremental"))
+    raw = posts_raw(spark, sf)
+    feed.add("day 1", raw.where(F.xxhash64("index") % 2 == 0))
+    feed.add("day 2", raw)
+    return feed.read()
+
+
 # --------------------------------------------------------------------------- supervisor
 @register("stream_supervised_feeds", REGISTRY["stream_three_feeds"][1])
 def _stream_supervised_feeds(spark, sf):
