@@ -91,6 +91,17 @@ def sampled_ids(rows: DataFrame, per_lang: int, seed: int) -> DataFrame:
                  .where(F.col("rank") <= per_lang).select("doc_id").distinct())
 
 
+def release_memory() -> None:
+    """Give freed memory of Arrow and numpy back to the system. Workers are reused, and what one
+    task has freed would otherwise count beside the next one's."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)        # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(column) -> list[str]:
     """Python strings of an Arrow column; null reads as the empty string."""
     return [t or "" for t in column.to_pylist()]

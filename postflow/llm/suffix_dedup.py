@@ -304,6 +304,14 @@ class _Dedup:
                     f_windows=windows[o[~own]].astype(np.uint8)))
         return pa.table(out, schema=pa.schema([("bucket", pa.int32()), ("chunk_id", pa.int64()), ("blob", pa.binary())]))
 
+    @staticmethod
+    def apply(step, *tables):
+        """One group's step; its memory goes back before the next one."""
+        C.release_memory()
+        out = step(*tables)
+        C.release_memory()
+        return out
+
     @staticmethod
     def _leaders(raw, key, first, size, doc) -> np.ndarray:
         """Per run the run that stands for it: itself, or an equal run of a smaller document."""
@@ -432,10 +440,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = C.checkpointed(copies)
     by_chunk = lambda m: chunks.groupBy("chunk_id").cogroup(m.groupBy("chunk_id"))
     block = "bucket int, chunk_id long, blob binary"
-    shared = (by_chunk(copies).applyInArrow(lambda c, m: work.keys(c, m), block)
-              .groupBy("bucket").applyInArrow(lambda t: work.shared_keys(t), MESSAGE))
-    segments = by_chunk(copies.union(shared)).applyInArrow(lambda c, m: work.segments(c, m), block)
-    spans = segments.groupBy("bucket").applyInArrow(lambda t: work.spans(t), MESSAGE)
+    shared = (by_chunk(copies).applyInArrow(lambda c, m: work.apply(work.keys, c, m), block)
+              .groupBy("bucket").applyInArrow(lambda t: work.apply(work.shared_keys, t), MESSAGE))
+    segments = by_chunk(copies.union(shared)).applyInArrow(lambda c, m: work.apply(work.segments, c, m), block)
+    spans = segments.groupBy("bucket").applyInArrow(lambda t: work.apply(work.spans, t), MESSAGE)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema += f", `{names['kept']}` binary" + "".join(f", `{names[k]}` long" for k in ("n_bytes", "n_removed", "n_spans"))
-    return by_chunk(copies.union(spans)).applyInArrow(lambda c, m: work.cut(c, m), schema), names
+    return by_chunk(copies.union(spans)).applyInArrow(lambda c, m: work.apply(work.cut, c, m), schema), names
