@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +80,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
+        C.release_memory()
         enc = encoder(tokenizer)
         for whole in batches:
             for i in range(0, whole.num_rows, 1000):
@@ -103,6 +105,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
         enc.trim()
+        C.release_memory()
 
     return docs.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
                            + (", ids binary" if keep_ids else ""))
@@ -121,9 +124,11 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY, seed:
     names = pieces.columns
 
     def pack(key, t):
-        t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        C.release_memory()
+        at = pc.sort_indices(t.select(["length", "doc_id", "start"]), sort_keys=[
+            ("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        t = t.select(names).take(at)                       # the dealing column is not copied
         seq, off = first_fit_decreasing(t.column("length").to_numpy(), capacity)
-        t = t.select(names)
         return (t.append_column("sequence_id", pa.array(seq + (key[0].as_py() << 31), pa.int64()))
                  .append_column("offset", pa.array(off, pa.int64())))
 
