@@ -17,7 +17,7 @@ import numpy as np
 
 SEP = "\x01"            # stands between cached words in one library call
 MAX_WORDS = 250_000     # entries of each of two generations, about 100 MB together
-KEPT_WORDS = 50_000     # entries kept when a task ends
+KEPT_WORDS = 250_000    # entries kept when a task ends
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 
 
