@@ -188,3 +188,4 @@ from postflow.plans import operator_keys  # noqa: E402,F401
 from postflow.plans import stream_keys  # noqa: E402,F401
 from postflow.plans import live_keys  # noqa: E402,F401
 from postflow.plans import sketch_keys  # noqa: E402,F401
+from postflow.plans import observed_keys  # noqa: E402,F401

@@ -52,6 +52,13 @@ def commit_batch(batch: DataFrame, path: str, run: str, epoch: int, fmt: str = "
     return True
 
 
+def committed(spark: SparkSession, path: str, run: str, epoch: int) -> str | None:
+    """The folder of a batch that ``commit_batch`` has committed."""
+    fs, at = _hadoop(spark, path)
+    target = f"{path.rstrip('/')}/run={run}/batch={epoch}"
+    return target if fs.exists(at(target)) else None
+
+
 class KeyedTable:
     """One row per key at ``path``; ``schema`` is that of the rows, ``keys`` some of its columns."""
 
