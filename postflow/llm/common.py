@@ -74,20 +74,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def sampled_ids(rows: DataFrame, per_lang: int, seed: int) -> DataFrame:
-    """(doc_id) of the ``per_lang`` rows of smallest id hash in each language of ``rows`` (doc_id, lang).
+    """(doc_id) of the ``per_lang`` ids of smallest hash in each language of ``rows`` (doc_id, lang).
 
-    Only hashes that the language's row count lets expect among four times as
-    many are ranked, so a ranking task holds some ``4 * per_lang`` rows whatever
-    the table's size. Null languages count as the empty one.
+    Only hashes that the language's number of ids lets expect among four times as
+    many are ranked, each id once, so a ranking task holds some ``4 * per_lang`` rows whatever
+    the table's size and however often an id is repeated. Null languages count as the empty
+    one; null ids are not chosen.
     """
-    keyed = rows.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"),
+    keyed = rows.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"),
                         (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(1 << 53)).alias("h"))
-    counts = keyed.groupBy("lang").count().collect()                  # one row per language
+    counts = keyed.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).collect()     # one row per language
     if not counts:
         return rows.select("doc_id").where("false")
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 4.0 * per_lang / r["count"])])
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 4.0 * per_lang / max(1, r["ids"]))])
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    return (keyed.where(F.col("h") < share[F.col("lang")]).withColumn("rank", F.row_number().over(order))
+    return (keyed.where(F.col("h") < share[F.col("lang")]).dropDuplicates(["lang", "doc_id"]).withColumn("rank", F.row_number().over(order))
                  .where(F.col("rank") <= per_lang).select("doc_id").distinct())
 
 

@@ -15,7 +15,9 @@ The first layer is a table lookup (bytes are one-hot), and pairs of neighbouring
 offsets are added up once into tables of 65,536 rows for prediction.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
-or when nothing was learned; repeated rows are predicted alike.
+or when nothing was learned; repeated rows are predicted alike. Rows without an id are
+predicted, never learned from and not held out; of rows that repeat an id and language one
+text (the least) enters the sample.
 """
 
 from __future__ import annotations
@@ -145,6 +147,11 @@ def learns(id_col: Column, folds: int = 4, held: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds)) != held, F.lit(False))
 
 
+def held_out(id_col: Column, folds: int = 4, held: int = 2) -> Column:
+    """Rows of the fold that is never learned from; false for a null id (which is not learned from, either)."""
+    return id_col.isNotNull() & ~learns(id_col, folds, held)
+
+
 def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           docs_per_lang: int = 300, windows_per_doc: int = 3) -> ByteCNN | None:
     """A network learned from the bounded sample; None without any labelled text."""
@@ -163,8 +170,9 @@ def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
                         part.append(w[i].tobytes())
             yield pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "window": pa.array(part, pa.binary())})
 
-    sample = (rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
-                  .mapInArrow(cut, "lang string, window binary").orderBy("lang", "window").collect())
+    picked = rows.join(F.broadcast(chosen), "doc_id", "left_semi")
+    sample = (picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("text", "lang")    # an id's repeats once
+                    .mapInArrow(cut, "lang string, window binary").orderBy("lang", "window").collect())
     if not sample:
         return None
     langs = sorted({r.lang for r in sample})

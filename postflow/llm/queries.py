@@ -91,7 +91,8 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     learn = langid.learns(F.col("doc_id"), folds=4, held=2)
     net = langid.train(docs, learn)
-    return langid.predict(docs.select("doc_id", "text", (~learn).alias("held_out")), net).drop("text")
+    held = langid.held_out(F.col("doc_id"), folds=4, held=2).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text", held), net).drop("text")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

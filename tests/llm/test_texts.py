@@ -237,6 +237,74 @@ def test_kneser_ney_equals_plain(spark):
     assert math.isclose(sum(prob((*ctx, s)) for s in range(256)), 1, rel_tol=1e-9)
 
 
+def test_symbols_keep_every_character():
+    text = "漢字かなカナ한글" + "".join(map(chr, range(0, 0x3000))) + "\ud800"
+    coded = {c: quality.symbols(c).tobytes() for c in text}
+    assert len(set(coded.values())) == len(set(text)) and not any(quality.START in v for v in coded.values())
+    assert quality.symbols(text).tobytes() == b"".join(coded[c] for c in text)
+
+
+def test_scripts_are_told_apart(spark):
+    """Junk in one script against trusted text in it: merged characters would make both alike."""
+    rnd = random.Random(3)
+    words = ["日本語", "文章", "学習", "東京都", "情報処理", "です", "ひらがな", "カタカナ"]
+    good = ["".join(rnd.choice(words) for _ in range(60)) for _ in range(60)]
+    junk = ["".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(200)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "ja") for i, t in enumerate(good + junk)], "doc_id long, text string, lang string")
+    out = quality.classify(docs, docs.where("doc_id < 50").select("doc_id")).collect()
+    assert all(r.kept == (r.doc_id < 60) for r in out)
+
+
+def test_threshold_and_decision_equal_plain(spark):
+    rnd = random.Random(21)
+    pools = {"aa": "abcde ", "bb": "vwxyzé ", None: "abxy "}
+    rows = [(i, "".join(rnd.choice(pools[lang]) for _ in range(rnd.randint(1, 120))), lang)
+            for i, lang in enumerate(rnd.choice(list(pools)) for _ in range(150))]
+    rows += [(150, "qqqqqqqqqq ZZZZ", "aa"), (151, "", "aa"), (152, "abc abd", "cc"), (None, "abc", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 150, 2)], "doc_id long")
+    model = quality.train(docs, ids)
+    quantile, slack, prior = 0.9, 1.1, 16
+    trusted = [(t, lang, quality.perplexities(model, [t], [lang])[0]) for i, t, lang in rows if i is not None and i % 2 == 0 and i < 150 and t]
+
+    def limits(lang):
+        mine = [r for r in trusted if r[1] == lang] if lang in ("aa", "bb") else trusted
+        pooled = sum(len(t) * math.log(p) for t, _, p in mine) / sum(len(t) for t, _, _ in mine)
+
+        def shrunk(t, p, rate):
+            return math.exp((len(t) * math.log(p) + prior * rate) / (len(t) + prior))
+        rate = {k: sum(len(t) * math.log(p) for t, g, p in trusted if g == k or k is None) / sum(len(t) for t, g, _ in trusted if g == k or k is None) for k in ("aa", "bb", None)}
+        steady = sorted(shrunk(t, p, rate[g if g in ("aa", "bb") else None]) for t, g, p in mine)
+        return steady[max(0, math.ceil(quantile * len(steady)) - 1)] * slack, lambda t, p: shrunk(t, p, pooled)
+
+    got = quality.classify(docs, ids, quantile=quantile, slack=slack, prior_chars=prior).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        limit, steady = limits(r.lang)
+        assert math.isclose(r.threshold, limit, rel_tol=1e-9)
+        if not r.text:
+            assert r.perplexity is None and not r.kept
+            continue
+        want = steady(r.text, quality.perplexities(model, [r.text], [r.lang])[0])
+        assert math.isclose(r.perplexity, want, rel_tol=1e-9) and r.kept == (want <= limit * (1 + 1e-12))
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """An id that holds a third of the rows, with many texts, enters the samples once a language."""
+    rows = [(1, f"hot text number {i} of one id", "en") for i in range(400)] + [(i, f"plain text {i}", "en") for i in range(2, 300)]
+    rows += [(None, "no id", "en")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = quality._sample(docs, docs.select("doc_id").distinct(), 1000, 1).where("lang = 'en'").collect()
+    assert len(sample) == 299 and sum("hot" in r.part for r in sample) == 1
+    assert quality.C.sampled_ids(docs, 20, 19).count() == 20
+
+
+def test_null_id_is_not_held_out(spark):
+    ids = spark.createDataFrame([(None,)] + [(i,) for i in range(60)], "doc_id long")
+    for r in ids.select("doc_id", langid.held_out(F.col("doc_id")).alias("h"), langid.learns(F.col("doc_id")).alias("l")).collect():
+        assert (r.h, r.l) == ((False, False) if r.doc_id is None else ((zlib.crc32(str(r.doc_id).encode()) % 4 == 2), zlib.crc32(str(r.doc_id).encode()) % 4 != 2))
+
+
 def test_quality_edge_rows(spark, docs, no_docs):
     ids = spark.createDataFrame([(r[0],) for r in ROWS if r[0] is not None and r[0] != 8], "doc_id long")
     out = quality.classify(docs, ids)
