@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from postflow.operators.clean import clean_posts
 from postflow.plans import questions as Q
-from postflow.plans.catalog import _COUNTS_BY_COUNTRY, REGISTRY, posts, register
+from postflow.plans.catalog import _COUNTS_BY_COUNTRY, FIXTURE_JOIN_YEARS, FIXTURE_POST_YEARS, REGISTRY, posts, register
 from postflow.plans.oracle import (
     GEO_NODEDUP, POSTS_COLS, USERS_NODEDUP, posts_ctes, with_clean, with_feeds,
 )
@@ -125,13 +125,44 @@ SELECT country, category, category_count FROM (
   FROM ({_COUNTS_BY_COUNTRY}) cc) t
 WHERE rnk = 1"""))
 def _top_category_by_country_from_streams(spark, sf):
+    t = _streamed(spark, sf, "posts", "geo")
+    return Q.top_category_by_country(t["posts"], t["geo"])
+
+
+def _streamed(spark, sf, *names):
+    """The tables that the feeds' streams have appended, records deduplicated on the way."""
     feeds = {}
-    for feed in ("posts", "geo"):
+    for feed in names:
         root, landing = _land(spark, sf, feed)
         feeds[feed] = (landing, f"{root}/table", f"{root}/checkpoint")
     run_feeds(spark, feeds, dedup_delay="1 hour")
-    return Q.top_category_by_country(read_appended(spark, feeds["posts"][1]),
-                                     read_appended(spark, feeds["geo"][1]))
+    return {feed: read_appended(spark, feeds[feed][1]) for feed in names}
+
+
+# The other questions on the streamed tables: question -> (right feed, how it is asked).
+_ASKED = {
+    "top_category_by_year": ("geo", lambda p, g: Q.top_category_by_year(p, g, FIXTURE_POST_YEARS)),
+    "top_poster_by_country": ("geo", lambda p, g: Q.top_poster_by_country(p, g)),
+    "country_with_top_poster": ("geo", lambda p, g: Q.country_with_top_poster(p, g)),
+    "top_category_by_age": ("users", lambda p, u: Q.top_category_by_age(p, u)),
+    "median_followers_by_age": ("users", lambda p, u: Q.median_followers_by_age(p, u, exact=True, sorted_=True)),
+    "joined_per_year": ("users", lambda p, u: Q.joined_per_year(p, u, FIXTURE_JOIN_YEARS)),
+    "median_followers_by_join_year": ("users", lambda p, u: Q.median_followers_by_join_year(
+        p, u, FIXTURE_JOIN_YEARS, exact=True, sorted_=True)),
+    "median_followers_by_age_and_year": ("users", lambda p, u: Q.median_followers_by_age_and_year(
+        p, u, FIXTURE_JOIN_YEARS, exact=True, sorted_=True)),
+}
+
+
+def _ask_streamed(question, right, ask):
+    @register(f"{question}_from_streams", REGISTRY[question][1])
+    def _asked(spark, sf):
+        t = _streamed(spark, sf, "posts", right)
+        return ask(t["posts"], t[right])
+
+
+for _question, (_right, _ask) in _ASKED.items():
+    _ask_streamed(_question, _right, _ask)
 
 
 # --------------------------------------------------------------------------- stored clean tables
@@ -159,7 +190,6 @@ def _top_category_by_country_stored(spark, sf):
 
 @register("median_followers_by_age_and_year_stored", REGISTRY["median_followers_by_age_and_year"][1])
 def _median_followers_by_age_and_year_stored(spark, sf):
-    from postflow.plans.catalog import FIXTURE_JOIN_YEARS
     t = _stored(spark, sf, ("posts", "users"))
     return Q.median_followers_by_age_and_year(t["posts"], t["users"], FIXTURE_JOIN_YEARS,
                                               exact=True, sorted_=True)

@@ -95,6 +95,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return _file_system(spark, path).makeQualified(at).toString()
 
 
+def stored_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write lies at ``path``: data files, and no writer's ``_temporary`` left."""
+    fs, at = _file_system(spark, path), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return "_temporary" not in names and any(not n.startswith(("_", ".")) for n in names)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files below a path of any file system Spark reads."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

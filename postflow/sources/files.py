@@ -7,11 +7,12 @@ prune them; an explicit schema spares the inference scan.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postflow.session import stored_whole
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                columns: list[str] | None = None, **options) -> DataFrame:
@@ -87,8 +88,6 @@ def first_start(spark: SparkSession, checkpoint: str, name: str, make) -> DataFr
     """The frame that ``make()`` gave when the stream with this checkpoint first
     started; it is stored in the checkpoint folder, so it lives and dies with it."""
     at = f"{checkpoint.rstrip('/')}/_postflow/{name}"
-    try:
-        return spark.read.parquet(at)
-    except AnalysisException:                # nothing stored yet: the first start
+    if not stored_whole(spark, at):                       # the first start
         make().write.mode("overwrite").parquet(at)
-        return spark.read.parquet(at)
+    return spark.read.parquet(at)                         # a passing read error is raised, and starts nothing anew

@@ -281,3 +281,25 @@ def test_kafka_rows_map_to_records(spark):
     assert recs.schema == RECORD_SCHEMA
     row = clean_records(recs, "geo").collect()[0]
     assert (row.ind, row.country, row.coordinates) == (3, "X", [1.5, 2.0])
+
+
+# ------------------------------------------------------------------ first start
+def test_first_start_is_kept_and_errors_are_raised(spark, workdir):
+    from postflow.sources.files import first_start
+
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.createDataFrame([(len(made),)], "run int")
+    assert first_start(spark, f"{workdir}/ck", "run", make).first().run == 1
+    assert first_start(spark, f"file:{workdir}/ck", "run", make).first().run == 1 and made == [1]
+    os.makedirs(f"{workdir}/dead/_postflow/run/_temporary/0")                  # a first start that was killed while writing
+    assert first_start(spark, f"{workdir}/dead", "run", make).first().run == 2
+    broken = f"{workdir}/bad/_postflow/run"
+    os.makedirs(broken)
+    with open(f"{broken}/part-0.parquet", "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):                                             # unreadable is not absent: no new run id
+        first_start(spark, f"{workdir}/bad", "run", make).first()
+    assert len(made) == 2
