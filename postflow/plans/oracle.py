@@ -29,7 +29,7 @@ posts_raw AS (
          CASE WHEN k % 11 = 0 THEN 'User Info Error' ELSE c_name END AS poster_name,
          CASE WHEN k % 11 = 0 OR n_nationkey = 7 THEN 'User Info Error'
               WHEN k % 100 = 0 THEN CASE WHEN cp = 1 THEN '12k' ELSE '12000' END
-              WHEN c % 13 = 0 THEN CAST(c % 9 + 1 AS VARCHAR) || '.2k'
+              WHEN c % 13 = 0 THEN CAST(c % 9 + 1 AS VARCHAR) || CASE WHEN c % 2 = 0 THEN '.7k' ELSE '.2k' END
               WHEN c % 17 = 0 THEN 'kk12k'
               WHEN c % 3 = 0 THEN CAST(c % 900 + 1 AS VARCHAR) || 'k'
               WHEN c % 7 = 0 THEN CAST(c % 9 + 1 AS VARCHAR) || 'M'
@@ -82,9 +82,9 @@ _POSTS_STEPS = """
 ),
 {name} AS (
   SELECT CAST("index" AS INTEGER) AS ind, unique_id, title, description,
-         TRY_CAST(CASE WHEN follower_count LIKE '%k' THEN regexp_replace(follower_count, 'k', '000', 'g')
+         TRY_CAST(trunc(TRY_CAST(CASE WHEN follower_count LIKE '%k' THEN regexp_replace(follower_count, 'k', '000', 'g')
                        WHEN follower_count LIKE '%M' THEN regexp_replace(follower_count, 'M', '000000', 'g')
-                       ELSE follower_count END AS INTEGER) AS follower_count,
+                       ELSE follower_count END AS DOUBLE)) AS INTEGER) AS follower_count,
          poster_name,
          string_split(tag_list, ',') AS tag_list,
          is_image_or_video, image_src,

@@ -72,7 +72,7 @@ def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.lit(USER_INFO_ERROR)).otherwise(F.col("c_name")).alias("poster_name"),
         F.when((k % 11 == 0) | (F.col("n_nationkey") == NO_COUNTS_NATION), F.lit(USER_INFO_ERROR))
          .when(k % 100 == 0, F.when(cp == 1, F.lit("12k")).otherwise(F.lit("12000")))
-         .when(c % 13 == 0, F.concat(_s(c % 9 + 1), F.lit(".2k")))
+         .when(c % 13 == 0, F.concat(_s(c % 9 + 1), F.when(c % 2 == 0, F.lit(".7k")).otherwise(F.lit(".2k"))))
          .when(c % 17 == 0, F.lit("kk12k"))
          .when(c % 3 == 0, F.concat(_s(c % 900 + 1), F.lit("k")))
          .when(c % 7 == 0, F.concat(_s(c % 9 + 1), F.lit("M")))
