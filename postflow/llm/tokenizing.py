@@ -3,24 +3,66 @@
 Both public BPE files cut a text before every single space that stands between
 two non-space characters, and what follows such a cut does not depend on what
 stands before it. So a text's ids are the concatenation of the ids of its
-space-led words, and each word is encoded by the library once per cache life.
-Texts with other spacing (runs of white space, leading or trailing blanks) go
-to the library whole. The cache is bounded: two generations, the older one dropped when the
-younger is full.
+space-led words, and each word is encoded once per cache life. Texts with other
+spacing (runs of white space, leading or trailing blanks) go to the library whole.
+
+A new word of Latin letters with trailing punctuation, or several such words
+joined by line breaks, is cut as the file's own rules cut it (``PLAIN``), and
+the library's model encodes the pieces; any other word goes through the whole
+library. Files whose rules are not among the known two have no such short cut.
+
+The cache is bounded: two generations, the older one dropped when the younger is full.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 
 import numpy as np
 
-SEP = "\x01"            # stands between cached words in one library call
 MAX_WORDS = 250_000     # entries of each of two generations, about 100 MB together
-KEPT_WORDS = 250_000    # entries kept when a task ends
+MAX_HEADS = 30_000      # entries for words without a space before them
+MAX_CACHED = 100        # characters of a cached word
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"          # composed, and in lower case one by one
+MARKS = r"!-&(-/:-@\[-`{-~"          # ASCII punctuation but the apostrophe, which both files treat apart
+PLAIN = re.compile(f"[{LETTERS}]+[{MARKS}]*(?:\n[{LETTERS}]+[{MARKS}]*)*")
+PIECE = re.compile(f"[{LETTERS}]+|[{MARKS}]+|\n")
+ASCII_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 
 
+class OddSpacing(Exception):
+    """The word is empty or has white space at an end: the text is not cut at single spaces."""
+
+
+class _Words(dict):
+    """Ids (little-endian unsigned 32-bit) of " " + word, made when first asked for."""
+
+    def __init__(self, make, old: dict[str, bytes]):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= MAX_CACHED:
+            self[word] = ids
+        return ids
+
+
+def byte_characters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others,
+    in ascending order, for the characters from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordCachedEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -28,70 +70,98 @@ class WordCachedEncoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True    # their strings in a text are ordinary text
+        self.model = self.lib.model
         self.vocab_size = self.lib.get_vocab_size()
-        self.words: dict[str, bytes] = {}        # ids of " " + word
-        self.old_words: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}        # ids of a text's first word
-        sep = self.ids(" " + SEP)
-        self.sep_id, self.sep_len = int(sep[-1]), len(sep)
+        self.rule = self._rule(path)
+        self.alphabet = byte_characters()
+        self.space = self.alphabet[ord(" ")] if self.rule == "spaced" else ""
+        self.words = _Words(self._word, {})
+        self.heads: dict[str, bytes] = {}        # ids of words without a space before them
+
+    @staticmethod
+    def _rule(path: str) -> str | None:
+        """How the file cuts words: ``spaced`` (pieces keep the space before them), ``lower``
+        (white space goes, letters in lower case) or None for any other rule."""
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        norm, pre, model = rules["normalizer"], rules["pre_tokenizer"], rules["model"]
+        if model["type"] != "BPE" or model.get("dropout"):
+            return None
+        if norm is None and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+            return "spaced"
+        steps = [s["type"] for s in (norm or {}).get("normalizers", [])]
+        cuts = pre.get("pretokenizers", [])
+        if steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]:
+            pattern = cuts[0]["pattern"].get("Regex", "")
+            if pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and pattern.startswith("'") and cuts[0]["invert"]:
+                return "lower"
+        return None
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def trim(self) -> None:
-        """Keep a small cache between tasks; the worker may run other operators next."""
-        self.old_words = {}
-        if len(self.words) > KEPT_WORDS:
-            self.words = dict(list(self.words.items())[:KEPT_WORDS])
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode words in a few library calls, one separator word after each."""
-        plain = [w for w in new if SEP not in w]
-        for w in new:
-            if SEP in w:
-                self.words[w] = self.ids(" " + w).tobytes()
-        for i in range(0, len(plain), 400):
-            part = plain[i:i + 400]
-            line = " " + f" {SEP} ".join(part) + f" {SEP}"
-            ids = np.array(self.lib.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.sep_id)
-            if len(ends) != len(part):           # never seen; the plain route stays exact
-                for w in part:
-                    self.words[w] = self.ids(" " + w).tobytes()
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, e in zip(part, (ends * 4).tolist()):
-                self.words[w] = raw[at:e - 4 * (self.sep_len - 1)]
-                at = e + 4
+        """Drop the older generation between tasks; the worker may run other operators next."""
+        self.words.old = {}
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that the file's rules leave whole."""
+        if not piece.isascii() or piece[0] in " \n":
+            piece = piece.encode().decode("latin-1").translate(self.alphabet)
+        return self._model_ids(piece)
+
+    def _model_ids(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else np.array(ids, "<u4").tobytes()
+
+    def _head(self, piece: str) -> bytes:
+        return self._cached_head(piece, self._piece)
+
+    def _cached_head(self, key: str, make) -> bytes:
+        got = self.heads.get(key)
+        if got is None:
+            got = make(key)
+            if len(self.heads) >= MAX_HEADS:
+                self.heads = {}
+            if len(key) <= MAX_CACHED:
+                self.heads[key] = got
+        return got
+
+    def _word(self, word: str) -> bytes:
+        """Ids of " " + word."""
+        if self.rule is not None and word.isascii():           # the most frequent forms, without a pattern
+            if word.isalpha():
+                return self._model_ids(self.space + word if self.space else word.lower())
+            stem = word.rstrip(ASCII_MARKS)
+            if stem.isalpha():
+                return self.words[stem] + self._head(word[len(stem):])
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise OddSpacing
+        if self.rule is None or not PLAIN.fullmatch(word):
+            return self.ids(" " + word).tobytes()
+        if self.rule == "lower":
+            pieces = [p for p in PIECE.findall(word.lower()) if p != "\n"]
+        else:
+            pieces = PIECE.findall(word)
+        if len(pieces) == 1:
+            return self._piece(pieces[0] if self.rule == "lower" else " " + word)
+        return self.words[pieces[0]] + b"".join(map(self._head, pieces[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = [t.split(" ") for t in texts]
-        seen: set[str] = set()
-        for p in parts:
-            seen.update(p[1:])
-        new = seen.difference(self.words)
-        odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
-        new -= odd
-        if len(self.words) + len(new) > MAX_WORDS:            # the full generation becomes the old one
-            self.words, self.old_words = {}, self.words
-            new = {w for w in seen if w not in odd}
-        known = new.intersection(self.old_words)
-        self.words.update((w, self.old_words[w]) for w in known)
-        new -= known
-        if len(self.heads) > MAX_WORDS // 8:
-            self.heads = {}
-        self._learn(list(new))
         out = []
-        for t, p in zip(texts, parts):
-            head = p[0]
-            if not t or (odd and not odd.isdisjoint(p[1:])) or not head or head[0].isspace() or head[-1].isspace():
+        for t in texts:
+            if len(self.words) > MAX_WORDS:                   # the full generation becomes the old one
+                self.words.old = {}
+                self.words = _Words(self._word, self.words)
+            head, *rest = t.split(" ")
+            try:
+                if not head or head[0].isspace() or head[-1].isspace():
+                    raise OddSpacing
+                first = self._cached_head("\0" + head, lambda key: self.ids(key[1:]).tobytes())
+                out.append(first + b"".join(map(self.words.__getitem__, rest)))
+            except OddSpacing:
                 out.append(self.ids(t).tobytes() if t else b"")
-                continue
-            h = self.heads.get(head)
-            if h is None:
-                h = self.heads[head] = self.ids(head).tobytes()
-            out.append(h + b"".join(map(self.words.__getitem__, p[1:])))
         return out
 
 

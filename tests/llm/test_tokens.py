@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from postflow.llm import bpe, packing, token_files
+from postflow.llm import bpe, packing, token_files, tokenizing
 from postflow.llm.tokenizing import WordCachedEncoder
 from tests.llm.conftest import ROWS
 
@@ -73,6 +73,21 @@ def test_cached_encoder_equals_library(name):
         assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
 
 
+@pytest.mark.parametrize("name, rule", [("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "lower")])
+def test_plain_words_equal_library(name, rule, monkeypatch):
+    monkeypatch.setattr(tokenizing, "MAX_WORDS", 200)      # generations change hands in the run
+    monkeypatch.setattr(tokenizing, "MAX_HEADS", 50)
+    enc, lib, rnd = WordCachedEncoder(P.path(name)), library(name), random.Random(7)
+    assert enc.rule == rule
+    parts = ["a", "The", "É", "ñ", "ß", "Ünder", "ÿ", "×", "÷", "ª", "µ", ".", ",", "!!", "_", "'", "'s", "`", "~", "\n", "\n\n", "7", "日", "e\u0301", "İ", "x" * 120, "\u00a0", "<|endoftext|>"]
+    texts = [" ".join("".join(rnd.choice(parts[:11] if rnd.random() < .7 else parts) for _ in range(rnd.randint(1, 5)))
+                      for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+    assert max(map(len, enc.words)) <= tokenizing.MAX_CACHED
+
+
 def test_tournament_tree_is_first_fit():
     rnd = np.random.default_rng(3)
     sizes = np.sort(rnd.integers(1, 100, 300))[::-1]
