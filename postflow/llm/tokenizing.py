@@ -23,7 +23,7 @@ import struct
 
 import numpy as np
 
-MAX_WORDS = 250_000     # entries of each of two generations, about 100 MB together
+MAX_WORDS = 150_000     # entries of each of two generations, about 65 MB together
 MAX_HEADS = 30_000      # entries for words without a space before them
 MAX_CACHED = 100        # characters of a cached word
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"          # composed, and in lower case one by one
