@@ -19,8 +19,10 @@ smaller id goes. Strings are judged on the input and never cross documents.
    bytes delimit equal strings; those not of the least document id are removed.
 5. The spans go back to the chunks, which cut them out.
 
-A key shared by very many documents is sorted in bounded batches in order of
-document id, keeping from batch to batch only runs with a window not seen before.
+The windows of a key shared by very many documents are dealt by a hash of their
+own ``LENGTH`` bytes, so equal windows stay together and each part is sorted on
+its own. A part that one very common window fills is sorted in bounded batches in
+order of document id, with one window of each distinct string kept between them.
 
 Defined results: null text is empty; texts under ``LENGTH`` bytes stay whole;
 null ids rank after all others and equal ids never remove from each other
@@ -43,6 +45,7 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1           # grams in a window
 BATCH = 150_000                    # windows sorted together
+ALONE = 12_500                     # windows sorted together that stand alone, so that bytes are as many
 BLOCK = 1 << 19                    # windows hashed together
 CHUNK = 4 << 20                    # bytes of a chunk
 NO_ID = np.iinfo(np.int64).max
@@ -187,6 +190,48 @@ def repeated(parts: np.ndarray, at: np.ndarray, windows: np.ndarray, docs: np.nd
     return text[gone], order[gone] - starts[text[gone]]
 
 
+def window_hashes(text: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Hash of the ``LENGTH`` bytes from each position of ``text``."""
+    word = np.ndarray((len(text) - 7,), "<u8", np.ascontiguousarray(text).data, strides=(1,))
+    h = np.zeros(len(pos), np.uint64)
+    for o in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+        h ^= word[pos + o]
+        h *= _K[0]
+        h ^= h >> np.uint64(29)
+    return h * _K[1] >> np.uint64(20)
+
+
+def repeated_in_hot_key(text: np.ndarray, start: np.ndarray, windows: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``repeated`` of runs text[start[i]:start[i] + windows[i] + LENGTH - 1], in ascending order of
+    document, in time linear in their windows."""
+    total = int(windows.sum())
+    run = np.repeat(np.arange(len(windows), dtype=np.int32), windows)
+    off = (np.arange(total) - np.repeat(np.r_[0, np.cumsum(windows)[:-1]], windows)).astype(np.int32)
+    parts = max(1, -(-2 * total // ALONE))
+    part = np.empty(total, np.int32)
+    for a in range(0, total, BLOCK):
+        part[a:a + BLOCK] = window_hashes(text, start[run[a:a + BLOCK]] + off[a:a + BLOCK]) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")              # order of document stays
+    cut = np.searchsorted(part[order], np.arange(parts + 1))
+    shape = np.arange(LENGTH)
+    found = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        carry = order[:0]
+        for k in range(a, b, ALONE):
+            use = np.concatenate([carry, order[k:min(b, k + ALONE)]])
+            rows = text[(start[run[use]] + off[use])[:, None] + shape]
+            i, _ = repeated(rows.ravel(), np.arange(len(use) + 1) * LENGTH, np.ones(len(use), np.int64), docs[run[use]])
+            new = use[i[i >= len(carry)]]                # the carried ones are firsts, never gone
+            found.append((run[new].astype(np.int64), off[new].astype(np.int64)))
+            if k + ALONE < b:
+                left = np.ones(len(use), bool)
+                left[i] = False
+                left = np.flatnonzero(left)
+                _, first = np.unique(rows[left].view(f"S{LENGTH}").ravel(), return_index=True)
+                carry = use[left[first]]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 # ------------------------------------------------------------------ blocks between chunks and buckets
 def _pack(**arrays: np.ndarray) -> bytes:
     """Named arrays, each as one cell of a compressed one-row record batch."""
@@ -341,25 +386,21 @@ class _Dedup:
         by = np.lexsort((doc, key))
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def judge(use: np.ndarray) -> np.ndarray:
+        def judge(use: np.ndarray) -> None:
             s = size[use]
             at = np.r_[0, np.cumsum(s)]
             take = np.repeat(start[use] - at[:-1], s) + np.arange(int(at[-1]))
             i, w = repeated(text[take], at, windows[use], doc[use])
             found.append((use[i], w))
-            gone = np.bincount(i, minlength=len(use))
-            return use[gone < windows[use]]              # runs with a window not seen in a smaller document
 
         head = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]]) if len(by) else np.empty(0, int)
         held, n = [], 0
         for a, b in zip(head.tolist(), [*head[1:].tolist(), len(by)]):
             group = by[a:b]
             total = int(windows[group].sum())
-            if total > BATCH:                            # one very common key: batches in order of document
-                carry = group[:0]
-                step = max(1, int(len(group) * BATCH / total / 2))
-                for k in range(0, len(group), step):
-                    carry = judge(np.concatenate([carry, group[k:k + step]]))
+            if total > BATCH:                            # one very common key
+                i, w = repeated_in_hot_key(text, start[group], windows[group], doc[group])
+                found.append((group[i], w))
                 continue
             held.append(group)
             n += total

@@ -124,6 +124,25 @@ def cut(docs):
     return collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows.collect())
 
 
+@pytest.mark.parametrize("alone", [20, 300, 12_500])
+def test_hot_key_equals_one_sort(monkeypatch, alone):
+    """Runs that share a passage amid their own surroundings, whole equal runs, ties of ids,
+    and parts that one very common window fills."""
+    monkeypatch.setattr(suffix_dedup, "ALONE", alone)
+    for seed in range(5):
+        rnd = np.random.default_rng(seed)
+        passage = rnd.integers(97, 123, 200).astype(np.uint8)
+        texts, windows = [], rnd.integers(1, 30, 150)
+        for w in windows.tolist():
+            own = rnd.integers(97, 123, int(rnd.integers(0, 60)) if rnd.random() < .7 else 0).astype(np.uint8)
+            texts.append(np.concatenate([own, passage])[:w + suffix_dedup.LENGTH - 1])
+        docs, at = np.sort(rnd.integers(0, 90, 150)), np.r_[0, np.cumsum([len(t) for t in texts])]
+        text = np.concatenate(texts)
+        want = suffix_dedup.repeated(text, at, windows, docs)
+        got = suffix_dedup.repeated_in_hot_key(text, at[:-1], windows, docs)
+        assert len(got[0]) == len(want[0]) and set(zip(*map(np.ndarray.tolist, got))) == set(zip(*map(np.ndarray.tolist, want)))
+
+
 def test_suffix_dedup_edge_rows(docs, no_docs):
     assert cut(docs) == plain_cut([(suffix_dedup.NO_ID if r[0] is None else r[0], (r[1] or "").encode()) for r in ROWS])
     assert cut(no_docs) == collections.Counter()
@@ -133,6 +152,7 @@ def test_suffix_dedup_edge_rows(docs, no_docs):
 @pytest.mark.parametrize("batch", [40, 400_000])
 def test_suffix_dedup_random(spark, monkeypatch, batch):
     monkeypatch.setattr(suffix_dedup, "BATCH", batch)
+    monkeypatch.setattr(suffix_dedup, "ALONE", max(20, batch // 12))
     rnd = random.Random(batch)
     shared = ["".join(rnd.choice("ab \né\x00") for _ in range(rnd.randint(30, 160))) for _ in range(12)]
     rows = []
