@@ -15,6 +15,7 @@ from postflow.session import shared_dir
 from postflow.sources.files import read_stream
 from postflow.sources.fixtures import posts_raw, source_rows, table
 from postflow.sources.sharded import put_records, read_record_stream, read_records
+from postflow.streaming.dedup import dedup_with_ttl
 from postflow.streaming.live import counts_table, join_live, start_counts
 from postflow.streaming.pipeline import RECORD_SCHEMA, clean_records, read_appended, start_append, start_feed, to_records
 from postflow.streaming.supervisor import Supervisor
@@ -135,6 +136,19 @@ def _category_counts_live(spark, sf):
     return counts_table(joined, keys, f"{root}/counts").read()
 
 
+# --------------------------------------------------------------------------- dedup beyond the watermark
+@register("stream_dedup_ttl_posts", with_clean(f"SELECT {POSTS_COLS} FROM posts"))
+def _stream_dedup_ttl_posts(spark, sf):
+    """The feed on one day, and whole once more the next: every copy falls, hours behind the
+    ten minutes of the watermark, within a record's life of two days."""
+    root = shared_dir(spark, "dedup-ttl")
+    for day in range(2):
+        _land_part(spark, sf, root, "posts", day)
+        once = dedup_with_ttl(read_stream(spark, f"{root}/posts", RECORD_SCHEMA), 2 * 24 * 3600)
+        start_append(clean_records(once, "posts"), f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return read_appended(spark, f"{root}/table")
+
+
 # --------------------------------------------------------------------------- incremental cleaning
 @register("clean_posts_incremental", with_clean(f"SELECT {POSTS_COLS} FROM posts"))
 def _clean_posts_incremental(spark, sf):
