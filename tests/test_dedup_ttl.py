@@ -1,5 +1,6 @@
 """Dedup with a time to live against a plain version, over several batches and a restart."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -61,3 +62,18 @@ def test_empty_start(spark, workdir):
     land(spark, workdir, [("a", "x", 0), ("a", "x", 0)])
     drain(spark, workdir, 60)
     assert read_appended(spark, f"{workdir}/out").count() == 1
+
+
+def test_state_and_calls_go_by_bucket(spark, workdir):
+    """More records than buckets, each several times and over several lives: one state row and call a bucket, not a record."""
+    rnd = random.Random(4)
+    keys = [(f"k{i % 1500}", f"p{i % 7}") for i in range(1500)] + [(None, "p"), ("k", None), (None, None), ("-", "-"), ("", "")]
+    batches = [[(*rnd.choice(keys), rnd.randint(lo, lo + 100)) for _ in range(6000)] for lo in (0, 95, 190)]
+    for batch in batches:
+        land(spark, workdir, batch)
+        drain(spark, workdir, 40 * 60)
+    got = [(r.partitionKey, None if r.data is None else bytes(r.data).decode(), int((r.arrivalTimestamp - DAY).total_seconds() // 60))
+           for r in read_appended(spark, f"{workdir}/out").collect()]
+    assert sorted(got, key=str) == plain(batches, 40)
+    state = spark.read.format("statestore").option("stateVarName", "since").load(f"{workdir}/ck")
+    assert 0 < state.count() <= 1024 < len(keys)
