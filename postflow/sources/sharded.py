@@ -254,6 +254,48 @@ def read_record_stream(spark: SparkSession, endpoint: str, region: str, stream:
     return spark.readStream.format(FORMAT).options(**_options(spark, endpoint, region, stream, options)).load()
 
 
+class _SegmentFile:
+    """A segment that a put writes as its rows come: it holds less than ``BATCH_ROWS`` records in
+    memory, and all its batches but the last have ``BATCH_ROWS``."""
+
+    def __init__(self, where, folder: str):
+        where.create_dir(folder, recursive=True)
+        self.name = f"{uuid.uuid4().hex}.arrow"
+        self.out = where.open_output_stream(f"{folder}/{self.name}")
+        self.writer = pa.ipc.new_file(self.out, RECORD)
+        self.held: list[pa.RecordBatch] = []
+        self.n_held = self.records = 0
+
+    @property
+    def full(self) -> bool:
+        return self.records == SEGMENT_ROWS
+
+    def add(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        """Take rows up to the segment's end; those left over."""
+        room = SEGMENT_ROWS - self.records
+        mine, rest = rows.slice(0, room), rows.slice(room)
+        while mine.num_rows:
+            part, mine = mine.slice(0, BATCH_ROWS - self.n_held), mine.slice(BATCH_ROWS - self.n_held)
+            self.held.append(part)
+            self.n_held += part.num_rows
+            self.records += part.num_rows
+            if self.n_held == BATCH_ROWS:
+                self._write()
+        return rest
+
+    def _write(self) -> None:
+        table = pa.Table.from_batches(self.held).combine_chunks().cast(RECORD)
+        self.writer.write_table(table, max_chunksize=BATCH_ROWS)
+        self.held, self.n_held = [], 0
+
+    def close(self) -> tuple[str, int]:
+        if self.held:
+            self._write()
+        self.writer.close()
+        self.out.close()
+        return self.name, self.records
+
+
 def put_records(records: DataFrame, endpoint: str, region: str, stream: str, shards: int = 4,
                 partition_key: Column | None = None, **options) -> dict[str, int]:
     """Append records (partitionKey, data, arrivalTimestamp) to the stream; {shard: next sequence number}.
@@ -273,38 +315,32 @@ def put_records(records: DataFrame, endpoint: str, region: str, stream: str, sha
 
         where, root = store.open()
         task = TaskContext.get().partitionId()
-        held: dict[int, list[pa.RecordBatch]] = {}
-        count: dict[int, int] = {}
+        open_files: dict[int, _SegmentFile] = {}              # at most one for each shard
         made: list[tuple[int, int, str, int]] = []
 
-        def flush(shard: int) -> None:
-            table = pa.Table.from_batches(held.pop(shard)).combine_chunks()
-            name = f"{uuid.uuid4().hex}.arrow"
-            folder = f"{root}/{HIDDEN}/{put}"
-            where.create_dir(folder, recursive=True)
-            with where.open_output_stream(f"{folder}/{name}") as f, pa.ipc.new_file(f, RECORD) as w:
-                w.write_table(table.cast(RECORD), max_chunksize=BATCH_ROWS)
-            made.append((shard, task << 32 | len(made), name, table.num_rows))
-            count[shard] = 0
+        def close(shard: int) -> None:
+            name, n = open_files.pop(shard).close()
+            made.append((shard, task << 32 | len(made), name, n))
 
         for b in batches:
             shard = b.column(3).to_numpy()
             for s in sorted(set(shard.tolist())):
                 part = b.select([0, 1, 2]).filter(pa.array(shard == s))
-                for i in range(0, part.num_rows, SEGMENT_ROWS):
-                    piece = part.slice(i, SEGMENT_ROWS)
-                    if count.get(s, 0) + piece.num_rows > SEGMENT_ROWS:
-                        flush(s)
-                    held.setdefault(s, []).append(piece)
-                    count[s] = count.get(s, 0) + piece.num_rows
-        for s in sorted(held):
-            flush(s)
+                while part.num_rows:
+                    if s not in open_files:
+                        open_files[s] = _SegmentFile(where, f"{root}/{HIDDEN}/{put}")
+                    part = open_files[s].add(part)
+                    if open_files[s].full:
+                        close(s)
+        for s in sorted(open_files):
+            close(s)
         if made:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*made), (pa.int32(), pa.int64(), pa.string(), pa.int64()))],
                                              names=["shard", "place", "name", "records"])
 
-    files = rows.mapInArrow(write, "shard int, place long, name string, records long").orderBy("shard", "place").collect()
-    where, root = store.open()                                # one row for each segment came back, no record did
+    # one row for each segment comes back, no record does; sorted here, as Spark's sort would write all segments twice
+    files = sorted(rows.mapInArrow(write, "shard int, place long, name string, records long").collect(), key=lambda f: (f.shard, f.place))
+    where, root = store.open()
     tail = {s: b[1] for s, b in store.bounds().items()}
     for s in range(shards):
         where.create_dir(f"{root}/shard-{s}", recursive=True)

@@ -54,6 +54,26 @@ def test_sharded_batch_ranges(spark, workdir):
         spark.read.format(S.FORMAT).options(endpoint=workdir, region="eu").load().count()
 
 
+def test_put_holds_no_segment(spark, workdir, monkeypatch):
+    """Records go to the segment file as they come: a shard holds less than BATCH_ROWS of them, whatever the segment's size."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    monkeypatch.setattr(S, "SEGMENT_ROWS", 5 * S.BATCH_ROWS)
+    rows = pa.RecordBatch.from_pydict({"partitionKey": [str(i) for i in range(777)], "data": [b"x"] * 777, "arrivalTimestamp": [datetime(2024, 1, 1)] * 777},
+                                      schema=S.RECORD)
+    file, left, n = S._SegmentFile(fs.LocalFileSystem(), workdir), 0, 0
+    while not file.full:
+        left = file.add(rows).num_rows
+        n += 777 - left
+        assert file.n_held == sum(b.num_rows for b in file.held) < S.BATCH_ROWS
+    name, count = file.close()
+    assert count == n == S.SEGMENT_ROWS and left == 777 - n % 777
+    with pa.OSFile(f"{workdir}/{name}") as f:
+        reader = pa.ipc.open_file(f)
+        assert [reader.get_batch(i).num_rows for i in range(reader.num_record_batches)] == [S.BATCH_ROWS] * 5
+
+
 def test_sharded_starting_positions(spark, workdir):
     S.put_records(records(spark, 0, 100), workdir, "eu", "s", shards=1)
     assert drain(spark, workdir, "late", "c1", startingPosition="latest").count() == 0
