@@ -158,6 +158,18 @@ def test_live_join_keeps_bounded_state(spark, workdir):
     assert sum(rows) == 0                                                                # the watermark emptied every state
 
 
+def test_live_join_state_is_on_disk(spark, workdir):
+    """Not one of the stateful operators keeps its rows in the executors' heaps, and a join has one store a partition."""
+    for x in ("posts", "geo"):
+        land(spark, f"{workdir}/{x}", [(1, post(1), 0)])
+    q = joined(spark, workdir)
+    last = json.loads(q.recentProgress[-1].json if hasattr(q.recentProgress[-1], "json") else json.dumps(q.recentProgress[-1]))
+    assert len(last["stateOperators"]) == 3
+    assert all(any(k.startswith("rocksdb") for k in s["customMetrics"]) for s in last["stateOperators"])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [s["numStateStoreInstances"] for s in last["stateOperators"]] == [parts] * 3
+
+
 def test_live_counts_follow_batches(spark, workdir):
     table = KeyedTable(spark, f"{workdir}/counts", T.StructType([T.StructField("category", T.StringType()), T.StructField("n", T.LongType())]), ["category"])
     want = {}
