@@ -8,23 +8,24 @@ continuation counts (distinct left neighbours) below, three discounts per
 language and order from the counts of counts, context sums, and one join per
 order that interpolates with the order below.
 
-The trusted sample is bounded: per language ``docs_per_lang`` documents of
-smallest id hash, up to ``windows`` windows of ``WINDOW`` characters each, evenly
-spaced. The model therefore is bounded, too, and each task joins the n-grams of
+All trusted texts are counted, each whole and once for its id and language. Tasks count n-grams in
+bounded blocks and Spark sums them, so no text and no list of documents passes through the driver. The model
+holds one number for each distinct n-gram and context (at most 2^32 of each language, as symbols are bytes;
+in written text far fewer), and each task joins the n-grams of
 its documents to the model's sorted shards (one per language and order) without
 a shuffle. Whole texts are scored;
 ``prior_chars`` characters at the language's usual rate steady the perplexity of
-short ones.
+short ones. ``docs_per_lang`` and ``windows`` give, if asked for, a model of a bounded sample; no query does.
 
 A document's threshold is its language's: the ``quantile`` of the perplexity of
-all trusted documents in that language (all of them, not the sample), times
+all trusted documents in that language, times
 ``slack``. Documents above it are rejected. Languages without trusted text, and
 null languages, use the model and threshold pooled over all trusted text.
 
 Defined results: an empty or null text has no perplexity and is rejected; without
 any trusted text nothing is rejected and perplexities are null; repeated rows are
 scored alike. A row without an id is scored like any other but is never trusted; of rows
-that repeat an id and language one text (the least) enters the sample.
+that repeat an id and language one text (the least) is learned from.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ from postflow.llm import common as C
 ORDER = 4
 WINDOW = 1000
 POOL = ""            # the pooled model's language
+BLOCK = 1 << 22      # n-grams that a task counts at once
 START = 0            # the symbol before a text's start
 NUL = 0xC0           # stands for the byte 0; no UTF-8 text holds it
 
@@ -94,8 +96,18 @@ class KneserNey:
         return np.log(p)
 
 
+def _texts(docs: DataFrame, trusted: DataFrame | None) -> DataFrame:
+    """(lang, part): every trusted text, whole; of an id's repeats in a language one, as they must not outweigh the rest."""
+    rows = docs.where("length(text) > 0 AND doc_id IS NOT NULL")
+    if trusted is not None:
+        rows = rows.join(trusted, "doc_id", "left_semi")
+    once = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("part"))
+    return once.select(F.coalesce("lang", F.lit(POOL)).alias("lang"), "part")
+
+
 def _sample(docs: DataFrame, trusted: DataFrame | None, docs_per_lang: int, windows: int) -> DataFrame:
-    """(lang, window) rows of the bounded sample, each window also for the pooled model."""
+    """(lang, part) rows of a bounded sample: ``docs_per_lang`` documents of smallest id hash, ``windows`` evenly spaced
+    windows of each."""
     ids = docs.where("length(text) > 0").select("doc_id", "lang")      # ids alone meet the labels, texts are not shuffled
     if trusted is not None:
         ids = ids.join(trusted, "doc_id", "left_semi")
@@ -104,43 +116,54 @@ def _sample(docs: DataFrame, trusted: DataFrame | None, docs_per_lang: int, wind
     def cut(batches):
         for b in batches:
             langs, parts = [], []
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 starts = range(0, max(1, len(text)), WINDOW)
                 for i in sorted({int(k) for k in np.linspace(0, len(starts) - 1, windows)}):
-                    for name in {POOL, lang or POOL}:
-                        langs.append(name)
-                        parts.append(text[starts[i]:starts[i] + WINDOW])
+                    langs.append(lang)
+                    parts.append(text[starts[i]:starts[i] + WINDOW])
             yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "part": pa.array(parts, pa.string())})
 
-    rows = docs.where("length(text) > 0").join(F.broadcast(chosen), "doc_id", "left_semi")
-    return (rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))      # repeated ids must not outweigh the rest
-                .select("text", "lang").mapInArrow(cut, "lang string, part string"))
+    return _texts(docs.join(F.broadcast(chosen), "doc_id", "left_semi"), None).mapInArrow(cut, "lang string, part string")
 
 
-def _raw_counts(sample: DataFrame) -> DataFrame:
+def _raw_counts(parts: DataFrame) -> DataFrame:
+    """(lang, g, c): how often each n-gram of the highest order stands in a language's parts, and in all (``POOL``)."""
     def count(batches):
-        for b in batches:
-            by: dict = {}
-            for lang, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                s = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbols(part).astype(np.uint32)])
-                code = np.zeros(len(s) - ORDER + 1, np.uint32)
-                for j in range(ORDER):
-                    code = (code << np.uint32(8)) | s[j:len(s) - ORDER + 1 + j]
-                by.setdefault(lang, []).append(code)
-            for lang, codes in by.items():
+        held, size = {}, 0
+
+        def counted():
+            for lang, codes in held.items():
                 g, c = np.unique(np.concatenate(codes), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(g), pa.string()),
                                                   "g": pa.array(g.astype(np.int64)), "c": pa.array(c.astype(np.int64))})
-    return sample.mapInArrow(count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
-
 
-def train(docs: DataFrame, trusted: DataFrame | None = None, docs_per_lang: int = 400, windows: int = 4) -> KneserNey | None:
+        for b in batches:
+            for lang, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                raw = np.concatenate([np.full(ORDER - 1, START, np.uint8), symbols(part)])
+                for a in range(0, len(raw) - ORDER + 1, BLOCK):
+                    s = raw[a:a + BLOCK + ORDER - 1].astype(np.uint32)
+                    code = np.zeros(len(s) - ORDER + 1, np.uint32)
+                    for j in range(ORDER):
+                        code = (code << np.uint32(8)) | s[j:len(s) - ORDER + 1 + j]
+                    held.setdefault(lang, []).append(code)
+                    size += len(code)
+                    if size >= BLOCK:
+                        yield from counted()
+                        held, size = {}, 0
+        yield from counted()
+
+    own = C.checkpointed(parts.mapInArrow(count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")))
+    pool = own.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(POOL).alias("lang"), "g", "c")
+    return own.where(F.col("lang") != POOL).unionByName(pool)
+
+
+def train(docs: DataFrame, trusted: DataFrame | None = None, docs_per_lang: int | None = None, windows: int = 4) -> KneserNey | None:
     """Model of the documents (doc_id, text, lang) named by ``trusted`` (doc_id), by default
     of all; None if there is no text."""
-    sample = C.checkpointed(_sample(docs, trusted, docs_per_lang, windows))
-    if sample.isEmpty():
+    parts = _texts(docs, trusted) if docs_per_lang is None else _sample(docs, trusted, docs_per_lang, windows)
+    counts = {ORDER: C.checkpointed(_raw_counts(parts))}
+    if counts[ORDER].isEmpty():
         return None
-    counts = {ORDER: C.checkpointed(_raw_counts(sample))}
     for n in range(ORDER - 1, 0, -1):                    # continuation counts: distinct left neighbours
         longer = counts[n + 1].select("lang", F.col("g").bitwiseAND((1 << 8 * n) - 1).alias("g"))
         counts[n] = C.checkpointed(longer.groupBy("lang", "g").agg(F.count("*").alias("c")))
@@ -168,7 +191,7 @@ def train(docs: DataFrame, trusted: DataFrame | None = None, docs_per_lang: int
 
 
 def _shards(into: dict, n: int, df: DataFrame, key: str, value: str) -> None:
-    """Sorted arrays per language; their size is bounded by the sample."""
+    """Sorted arrays per language; their size is bounded by the distinct n-grams."""
     t = df.select("lang", key, value).toArrow().to_pandas()
     for lang, part in t.groupby("lang"):
         part = part.sort_values(key)
@@ -219,7 +242,7 @@ def perplexities(model: KneserNey, texts: list[str | None], langs: list[str | No
 
 def score(docs: DataFrame, model: KneserNey, out_col: str = "perplexity", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with the perplexity of each whole text; all columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)       # bounded by the trusted sample
+    shared = docs.sparkSession.sparkContext.broadcast(model)       # distinct n-grams, no text
 
     def make():
         return lambda texts, langs: [perplexities(shared.value, texts.to_pylist(), langs.to_pylist())]
@@ -227,7 +250,7 @@ def score(docs: DataFrame, model: KneserNey, out_col: str = "perplexity", text_c
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.99, slack: float = 1.25,
-             prior_chars: int = 64, docs_per_lang: int = 400,
+             prior_chars: int = 64, docs_per_lang: int | None = None,
              windows: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              ppl_out: str = "perplexity", limit_out: str = "threshold", kept_out: str = "kept") -> DataFrame:
     """``docs`` with perplexity, threshold and decision; all columns and rows stay.

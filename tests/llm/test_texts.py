@@ -257,6 +257,23 @@ def test_kneser_ney_equals_plain(spark):
     assert math.isclose(sum(prob((*ctx, s)) for s in range(256)), 1, rel_tol=1e-9)
 
 
+def test_model_counts_every_trusted_text_whole(spark, monkeypatch):
+    """More documents than any sample would hold, and a long one whose middle stands nowhere else."""
+    rnd = random.Random(12)
+    monkeypatch.setattr(quality, "BLOCK", 5000)                       # a text longer than a block
+    texts = ["".join(rnd.choice("abc d") for _ in range(20)) for _ in range(900)]
+    texts.append("".join(rnd.choice("efg ") for _ in range(1500)) + "hij" * 4000 + "".join(rnd.choice("efg ") for _ in range(1500)))
+    rows = [(i, t, "xx" if i % 3 else None) for i, t in enumerate(texts)] + [(0, texts[0], None)] * 50
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    pad = [0] * (quality.ORDER - 1)
+    for lang, mine in (("xx", [t for i, t in enumerate(texts) if i % 3]), (None, texts)):
+        prob = plain_kneser_ney([pad + model.symbols(t).tolist() for t in mine], quality.ORDER)
+        for t in ["hijhij", "abd cab", "efgij"]:
+            s = pad + model.symbols(t).tolist()
+            want = math.exp(-sum(math.log(prob(tuple(s[i - quality.ORDER + 1:i + 1]))) for i in range(len(pad), len(s))) / len(t))
+            assert math.isclose(quality.perplexities(model, [t], [lang])[0], want, rel_tol=1e-9)
+
+
 def test_symbols_keep_every_character():
     text = "漢字かなカナ한글" + "".join(map(chr, range(0, 0x3000))) + "\ud800"
     coded = {c: quality.symbols(c).tobytes() for c in text}
