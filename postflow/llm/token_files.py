@@ -38,6 +38,7 @@ from postflow.llm.tokenizing import encoder
 SEQ_LEN = 2048
 FILE_TOKENS = 8 << 20
 BATCH_SEQS = 512
+CACHED_WORDS = 300_000        # each of two generations, about 130 MB together; a task holds little beside them
 BROADCAST_FILES = 200_000      # manifest rows, about 20 MB
 
 
@@ -105,7 +106,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, out_uri: str, end_id: int
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, CACHED_WORDS)
         width = "<u2" if max(enc.vocab_size, end_id + 1) <= 1 << 16 else "<u4"
         end = np.array([end_id], dtype="<u4").tobytes()
         file = None

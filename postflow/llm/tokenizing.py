@@ -72,6 +72,7 @@ class WordCachedEncoder:
         self.lib.encode_special_tokens = True    # their strings in a text are ordinary text
         self.model = self.lib.model
         self.vocab_size = self.lib.get_vocab_size()
+        self.max_words = MAX_WORDS
         self.rule = self._rule(path)
         self.alphabet = byte_characters()
         self.space = self.alphabet[ord(" ")] if self.rule == "spaced" else ""
@@ -151,7 +152,7 @@ class WordCachedEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         out = []
         for t in texts:
-            if len(self.words) > MAX_WORDS:                   # the full generation becomes the old one
+            if len(self.words) > self.max_words:                   # the full generation becomes the old one
                 self.words.old = {}
                 self.words = _Words(self._word, self.words)
             head, *rest = t.split(" ")
@@ -165,8 +166,10 @@ class WordCachedEncoder:
         return out
 
 
-def encoder(path: str) -> WordCachedEncoder:
-    """The encoder of this Python worker; workers are reused, and so is its cache."""
+def encoder(path: str, max_words: int | None = None) -> WordCachedEncoder:
+    """The encoder of this Python worker; workers are reused, and so is its cache. ``max_words`` (``MAX_WORDS``
+    by default) bounds each of the cache's two generations."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordCachedEncoder(path)
+    _ENCODERS[path].max_words = max_words or MAX_WORDS
     return _ENCODERS[path]
