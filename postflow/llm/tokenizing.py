@@ -16,6 +16,7 @@ The cache is bounded: two generations, the older one dropped when the younger is
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -150,20 +151,26 @@ class WordCachedEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
-        for t in texts:
-            if len(self.words) > self.max_words:                   # the full generation becomes the old one
-                self.words.old = {}
-                self.words = _Words(self._word, self.words)
-            head, *rest = t.split(" ")
-            try:
-                if not head or head[0].isspace() or head[-1].isspace():
-                    raise OddSpacing
-                first = self._cached_head("\0" + head, lambda key: self.ids(key[1:]).tobytes())
-                out.append(first + b"".join(map(self.words.__getitem__, rest)))
-            except OddSpacing:
-                out.append(self.ids(t).tobytes() if t else b"")
-        return out
+        collects = gc.isenabled()
+        gc.disable()                                          # no cycles are made here, and the caches would be walked over and over
+        try:
+            return [self._text(t) for t in texts]
+        finally:
+            if collects:
+                gc.enable()
+
+    def _text(self, t: str) -> bytes:
+        if len(self.words) > self.max_words:                  # the full generation becomes the old one
+            self.words.old = {}
+            self.words = _Words(self._word, self.words)
+        head, *rest = t.split(" ")
+        try:
+            if not head or head[0].isspace() or head[-1].isspace():
+                raise OddSpacing
+            first = self._cached_head("\0" + head, lambda key: self.ids(key[1:]).tobytes())
+            return first + b"".join(map(self.words.__getitem__, rest))
+        except OddSpacing:
+            return self.ids(t).tobytes() if t else b""
 
 
 def encoder(path: str, max_words: int | None = None) -> WordCachedEncoder:
