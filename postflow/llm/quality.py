@@ -8,7 +8,8 @@ continuation counts (distinct left neighbours) below, three discounts per
 language and order from the counts of counts, context sums, and one join per
 order that interpolates with the order below.
 
-All trusted texts are counted, each whole and once for its id and language. Tasks count n-grams in
+All trusted texts are counted, each whole and once for its id and language. Only they, and a small share of
+the others, are shuffled: a bitmap of the trusted ids' hashes is broadcast first. Tasks count n-grams in
 bounded blocks and Spark sums them, so no text and no list of documents passes through the driver. The model
 holds one number for each distinct n-gram and context (at most 2^32 of each language, as symbols are bytes;
 in written text far fewer), and each task joins the n-grams of
@@ -99,8 +100,8 @@ class KneserNey:
 def _texts(docs: DataFrame, trusted: DataFrame | None) -> DataFrame:
     """(lang, part): every trusted text, whole; of an id's repeats in a language one, as they must not outweigh the rest."""
     rows = docs.where("length(text) > 0 AND doc_id IS NOT NULL")
-    if trusted is not None:
-        rows = rows.join(trusted, "doc_id", "left_semi")
+    if trusted is not None:                                # no semi-join: Spark would push it below the look-up of ``C.narrowed``
+        rows = rows.join(trusted.select("doc_id").distinct(), "doc_id")
     once = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("part"))
     return once.select(F.coalesce("lang", F.lit(POOL)).alias("lang"), "part")
 
@@ -260,10 +261,11 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.99, sl
     text = F.coalesce(F.length(C.col(text_col)), F.lit(0)) > 0
     texts = C.pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     trusted = trusted_ids.select(F.col("doc_id")).distinct()
-    model = train(texts, trusted, docs_per_lang, windows)
+    near = C.narrowed(texts, trusted)                              # the joins with the trusted ids move no other texts
+    model = train(near, trusted, docs_per_lang, windows)
     if model is None:
         return docs.withColumns({ppl_out: F.lit(None).cast("double"), limit_out: F.lit(None).cast("double"), kept_out: text})
-    measured = score(texts, model, "ppl").where("ppl IS NOT NULL").select("doc_id", "lang", "ppl", F.length("text").alias("n"))
+    measured = score(near, model, "ppl").where("ppl IS NOT NULL").select("doc_id", "lang", "ppl", F.length("text").alias("n"))
     seen = C.checkpointed(measured.join(trusted, "doc_id", "left_semi"))
     usual = _per_language(seen, F.exp(F.sum(F.col("n") * F.log("ppl")) / F.sum("n")))
     steady = seen.withColumn("ppl", _shrunk(F.col("ppl"), F.col("n"), F.col("lang"), usual, prior_chars))

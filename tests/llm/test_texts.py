@@ -355,6 +355,28 @@ def test_quality_edge_rows(spark, docs, no_docs):
     assert quality.classify(no_docs, ids).count() == 0
 
 
+def test_narrowed_keeps_marked_rows(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("bits"), F.lit(1).alias("Part"))
+    ids = docs.where("doc_id % 4 = 1").select("doc_id").unionByName(spark.createDataFrame([(1,), (None,)], "doc_id long"))
+    near = quality.C.narrowed(docs, ids)
+    assert near.columns == docs.columns
+    assert near.join(ids.distinct(), "doc_id", "left_semi").count() == 5000 and near.count() < 6500
+    tight = quality.C.narrowed(docs, ids, most_bits=1 << 12)             # more ids than bits: nothing is lost
+    assert tight.join(ids.distinct(), "doc_id", "left_semi").count() == 5000
+    text, other = (x.select(F.col("doc_id").cast("string").alias("doc_id")) for x in (docs, ids))
+    assert quality.C.narrowed(text, other).join(other.distinct(), "doc_id", "left_semi").count() == 5000
+    assert quality.C.narrowed(docs, other).count() == 20_000                # other types: no look-up
+    assert quality.C.narrowed(docs, ids.where("false")).count() == 0
+
+
+def test_quality_shuffles_trusted_texts_only(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, *a: seen.append(texts.count()))
+    docs = spark.createDataFrame([(i, f"text {i}", "en") for i in range(2000)], "doc_id long, text string, lang string")
+    quality.classify(docs, docs.where("doc_id % 10 = 0").select("doc_id")).count()
+    assert 200 <= seen[0] < 400                                           # all 2,000 met the labels by a shuffle
+
+
 def test_quality_separates_labels(spark):
     sf = f"/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
