@@ -51,14 +51,35 @@ ASK, REPLY, STATE, TOTALS = range(4)      # tables per context to its owner, tot
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
-    return C.pack_batch(pa.RecordBatch.from_arrays(
-        [pa.array([a.tobytes()], pa.large_binary()) for a in arrays.values()],
-        names=[f"{k}:{a.dtype.str}" for k, a in arrays.items()]))
+    """Arrays as a short header and, of each, the first bytes of all its numbers, then the second ones and so on, by
+    zstd where that is smaller. Unsigned 64-bit numbers (keys, sorted mostly) go as differences. There are as many
+    messages as pairs of buckets, so what each costs beside its numbers counts."""
+    heads, bodies = [], []
+    for k, a in arrays.items():
+        a = np.ascontiguousarray(a).ravel()
+        if a.dtype == np.uint64:
+            a = np.diff(a, prepend=np.uint64(0))
+        raw = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+        small = pa.compress(raw, codec="zstd", asbytes=True) if len(raw) > 32 else raw
+        body = small if len(small) < len(raw) else raw
+        heads.append(f"{k}:{a.dtype.str}:{len(a)}:{len(body)}")
+        bodies.append(body)
+    head = ",".join(heads).encode()
+    return b"".join([len(head).to_bytes(2, "little"), head, *bodies])
 
 
 def _unpack(blob) -> dict[str, np.ndarray]:
-    b = C.unpack_batch(blob)
-    return {k: np.frombuffer(b.column(i)[0].as_buffer(), d) for i, (k, d) in enumerate(n.split(":") for n in b.schema.names)}
+    blob = memoryview(blob)
+    at = 2 + int.from_bytes(blob[:2], "little")
+    out = {}
+    for head in bytes(blob[2:at]).decode().split(","):
+        k, kind, n, size = head.split(":")
+        kind, n, body = np.dtype(kind), int(n), blob[at:at + int(size)]
+        at += int(size)
+        raw = body if len(body) == n * kind.itemsize else pa.decompress(pa.py_buffer(body), n * kind.itemsize, codec="zstd")
+        a = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n).T).view(kind).reshape(n)
+        out[k] = np.cumsum(a, dtype=np.uint64) if kind == np.uint64 else a
+    return out
 
 
 class ChunkTokens:
@@ -224,6 +245,8 @@ class _Model:
                     out["bucket"].append(b)
                     out["chunk_id"].append(chunk)
                     context, at = np.unique(k.context[p], return_inverse=True)
+                    by_key = np.argsort(k.key[context])                      # sorted keys take fewer bytes
+                    context, at = context[by_key], np.argsort(by_key)[at]
                     out["blob"].append(_pack(key=k.key[w], word_step=_steps(k.word[p] - w_at[b]), context=at.astype(np.uint32),
                                              context_key=k.key[context], klass=k.klass[context], n=k.n_train[p].astype(np.uint32)))
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array(out["bucket"], pa.int32()),

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -430,6 +431,20 @@ def test_hpy_counts_and_scores(spark, docs, source):
     assert hpy.score_documents(df.where("false")).count() == 0
 
 
+def test_hpy_messages_are_whole_and_small():
+    rng = np.random.default_rng(4)
+    key = np.sort(rng.integers(0, 1 << 64, 5000, np.uint64))
+    parts = {"key": key, "odd": key[::-1].copy(), "step": rng.integers(0, 3, 5000).astype(np.uint32), "p": rng.normal(-4, 1, 5000).astype(np.float32),
+             "total": np.arange(34).reshape(17, 2), "klass": np.arange(7, dtype=np.uint8), "none": np.empty(0, np.int64), "one": np.array([1 << 63], np.uint64)}
+    got = hpy._unpack(pa.py_buffer(hpy._pack(**parts)))
+    assert list(got) == list(parts)
+    for k, a in parts.items():
+        assert got[k].dtype == a.dtype and np.array_equal(got[k], a.ravel()), k
+    assert len(hpy._pack(t=np.arange(5, dtype=np.uint32))) < 40          # messages grow with the square of the buckets
+    assert len(hpy._pack(key=key)) < 0.92 * key.nbytes
+    assert len(hpy._pack(p=parts["p"])) < 0.92 * parts["p"].nbytes
+
+
 def test_hpy_predictive_sums_to_one():
     rng = np.random.default_rng(1)
     code = np.unique(rng.integers(0, 200 * hpy.CONTEXTS, 900))
