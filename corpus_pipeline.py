@@ -64,7 +64,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=True)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=True, lean=True)
 
 
 STAGES = [

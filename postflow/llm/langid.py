@@ -160,6 +160,7 @@ def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     chosen = C.sampled_ids(rows, docs_per_lang, seed=11)               # bounded: languages x docs_per_lang
 
     def cut(batches):
+        C.drop_caches()
         for b in batches:
             lang, part = [], []
             for text, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -226,5 +227,6 @@ def predict(docs: DataFrame, net: ByteCNN | None, text_col: str = "text", lang_o
     shared = docs.sparkSession.sparkContext.broadcast(net)      # a few hundred KB by construction
 
     def make():
+        C.drop_caches()
         return lambda texts: list(predict_texts(shared.value, texts.to_pylist()))
     return C.map_columns(docs, [text_col], {lang_out: T.StringType(), score_out: T.DoubleType()}, make)

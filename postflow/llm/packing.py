@@ -72,9 +72,10 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
-                 id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, lean: bool = False) -> DataFrame:
     """Pieces of encoded documents: doc_id, start, length, ids_crc32, doc_tokens
-    (and ``ids``, little-endian unsigned 32-bit, when ``keep_ids``)."""
+    (and ``ids``, little-endian unsigned 32-bit, when ``keep_ids``). ``lean``: a task leaves no tokenizer and no
+    words in its worker, for jobs that run other operators too."""
     docs = C.pick(docs, doc_id=id_col, text=text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -105,6 +106,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
         enc.trim()
+        if lean:
+            del enc
+            C.drop_caches()
         C.release_memory()
 
     return docs.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
@@ -124,7 +128,7 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY, seed:
     names = pieces.columns
 
     def pack(key, t):
-        C.release_memory()
+        C.drop_caches()
         at = pc.sort_indices(t.select(["length", "doc_id", "start"]), sort_keys=[
             ("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         t = t.select(names).take(at)                       # the dealing column is not copied
@@ -138,8 +142,8 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY, seed:
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
                    group_docs: int = GROUP_DOCS, id_col: str = "doc_id", text_col: str = "text",
-                   keep_ids: bool = False) -> DataFrame:
+                   keep_ids: bool = False, lean: bool = False) -> DataFrame:
     """Encode and pack whole documents; one row per piece."""
     groups = -(-docs.count() // group_docs)          # row counts come from file footers
-    pieces = token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids)
+    pieces = token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids, lean)
     return pack_pieces(pieces, groups, capacity)

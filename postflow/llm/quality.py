@@ -130,6 +130,7 @@ def _sample(docs: DataFrame, trusted: DataFrame | None, docs_per_lang: int, wind
 def _raw_counts(parts: DataFrame) -> DataFrame:
     """(lang, g, c): how often each n-gram of the highest order stands in a language's parts, and in all (``POOL``)."""
     def count(batches):
+        C.drop_caches()
         held, size = {}, 0
 
         def counted():
@@ -246,6 +247,7 @@ def score(docs: DataFrame, model: KneserNey, out_col: str = "perplexity", text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)       # distinct n-grams, no text
 
     def make():
+        C.drop_caches()
         return lambda texts, langs: [perplexities(shared.value, texts.to_pylist(), langs.to_pylist())]
     return C.map_columns(docs, [text_col, lang_col], {out_col: T.DoubleType()}, make)
 

@@ -24,6 +24,8 @@ import struct
 
 import numpy as np
 
+from postflow.llm import common as C
+
 MAX_WORDS = 150_000     # entries of each of two generations, about 65 MB together
 MAX_HEADS = 30_000      # entries for words without a space before them
 MAX_CACHED = 100        # characters of a cached word
@@ -34,6 +36,7 @@ PIECE = re.compile(f"[{LETTERS}]+|[{MARKS}]+|\n")
 ASCII_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
+C.WORKER_CACHES.append(_ENCODERS)
 
 
 class OddSpacing(Exception):

@@ -1,8 +1,11 @@
 """The pipeline's stages on edge rows, and registration."""
 
+import public_tokenizers
+import pyarrow as pa
+
 import __spark_entry__ as E
 import corpus_pipeline
-from postflow.llm import queries
+from postflow.llm import langid, packing, queries, tokenizing
 from tests.llm.conftest import ROWS
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +39,24 @@ def test_run_keeps_clean_documents(spark):
     alone = {r.doc_id for r in docs.join(good, "doc_id").dropDuplicates(["text"]).collect()}
     assert len(kept) < docs.count() and len(alone & kept) >= 0.9 * len(alone)
     assert ROWS
+
+
+def test_packing_leaves_no_tokenizer_in_workers(spark, docs):
+    """Workers are reused: what packing keeps would lie beside the next stage's memory, four times on an executor."""
+    def encoders(clear):
+        def run(batches):
+            for b in batches:
+                n = len(tokenizing._ENCODERS)
+                if clear:
+                    tokenizing._ENCODERS.clear()
+                yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+        return sum(r.n for r in spark.range(16, numPartitions=16).mapInArrow(run, "n long").collect())
+
+    encoders(True)
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    assert corpus_pipeline.pack(spark, rows, "").collect()
+    assert encoders(False) == 0
+    packing.token_pieces(rows, public_tokenizers.path("word_bpe_49k.json")).collect()       # kept by default
+    assert encoders(False) > 0
+    langid.predict(rows.repartition(16), langid.ByteCNN(["en", "fr"])).collect()
+    assert encoders(False) == 0
