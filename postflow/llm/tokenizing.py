@@ -6,10 +6,16 @@ stands before it. So a text's ids are the concatenation of the ids of its
 space-led words, and each word is encoded once per cache life. Texts with other
 spacing (runs of white space, leading or trailing blanks) go to the library whole.
 
-A new word of Latin letters with trailing punctuation, or several such words
-joined by line breaks, is cut as the file's own rules cut it (``PLAIN``), and
-the library's model encodes the pieces; any other word goes through the whole
-library. Files whose rules are not among the known two have no such short cut.
+For the ``spaced`` file a new word of Latin letters with trailing punctuation, or
+several such words joined by line breaks, is cut as the file's own rules cut it
+(``PLAIN``), and the library's model encodes the pieces; any other word goes
+through the whole library. Files whose rules are not among the known two have no
+such short cut.
+
+The ``lower`` file drops white space and letter case and never keeps a letter and
+the punctuation or digit beside it in one piece. So its texts are put in lower case and
+cut there too, many at once in numpy, before words are looked up: "The", "the," and
+"the.\nThe" need one cached word and the marks. White space of any kind may stand anywhere.
 
 The cache is bounded: two generations, the older one dropped when the younger is full.
 """
@@ -33,8 +39,18 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"          # composed, and in lower case one by
 MARKS = r"!-&(-/:-@\[-`{-~"          # ASCII punctuation but the apostrophe, which both files treat apart
 PLAIN = re.compile(f"[{LETTERS}]+[{MARKS}]*(?:\n[{LETTERS}]+[{MARKS}]*)*")
 PIECE = re.compile(f"[{LETTERS}]+|[{MARKS}]+|\n")
+WHOLE = re.compile(f"[{LETTERS}]+|[{MARKS}]+|[0-9]")       # what the ``lower`` rule leaves in one piece
 ASCII_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+RUN_BYTES = 1 << 20      # texts cut at once by the ``lower`` rule
+LETTER, MARK, APOSTROPHE, DIGIT, FAR = 1, 2, 3, 4, 5       # FAR: not ASCII and not among LETTERS
+KIND = bytes(LETTER if c.isalpha() else DIGIT if c.isdigit() else MARK if c in ASCII_MARKS else APOSTROPHE if c == "'" else 0
+             for c in map(chr, range(128))) + bytes([FAR]) * 128
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+CUTS = {(LETTER, MARK), (LETTER, APOSTROPHE), (MARK, LETTER)} | {
+    pair for k in (LETTER, MARK, APOSTROPHE, DIGIT) for pair in ((k, DIGIT), (DIGIT, k))}
+CUT = bytes((at >> 3, at & 7) in CUTS for at in range(256))          # by 8 * kind before + kind after
+KEEP = bytes((at >> 3, at & 7) == (LETTER, FAR) for at in range(256))
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 C.WORKER_CACHES.append(_ENCODERS)
 
@@ -44,13 +60,13 @@ class OddSpacing(Exception):
 
 
 class _Words(dict):
-    """Ids (little-endian unsigned 32-bit) of " " + word, made when first asked for."""
+    """Ids (little-endian unsigned 32-bit) of " " + word, or of a UTF-8 word of the ``lower`` rule, made when first asked for."""
 
-    def __init__(self, make, old: dict[str, bytes]):
+    def __init__(self, make, old: dict[str | bytes, bytes]):
         super().__init__()
         self.make, self.old = make, old
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str | bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             ids = self.make(word)
@@ -67,6 +83,26 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def lower_cut(raws: list[bytes]) -> list[bytes]:
+    """UTF-8 texts in lower case (letters of ``LETTERS``) with a space wherever the ``lower`` rule cuts between two
+    characters of ``LETTERS``, ASCII punctuation and ASCII digits. Other characters stay with their neighbours: they
+    may be letters, or combine with the letter before them, which keeps its case, as the file's rules compose first."""
+    raw = b"\n".join(raws)                                # no text touches the next one
+    b, kind = (np.frombuffer(bytearray(raw.translate(t)), np.uint8) for t in (LOWER, KIND))
+    two = np.flatnonzero(b == 0xC3)                       # the first byte of U+00C0 to U+00FF
+    two = two[(b[two + 1] & 0xDF) != 0x97]                # not the signs of multiplication and division
+    kind[two] = kind[two + 1] = LETTER
+    b[two[b[two + 1] < 0x9F] + 1] += 0x20
+    beside = (kind[:-1] * 8 + kind[1:]).tobytes()
+    at, keep = (np.flatnonzero(np.frombuffer(beside.translate(t), np.uint8)) for t in (CUT, KEEP))
+    at += 1
+    b[keep] = np.frombuffer(raw, np.uint8)[keep]
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    ends = [0, *(ends + np.searchsorted(at, ends)).tolist()]
+    flat = np.insert(b, at, 32).tobytes()
+    return [flat[i:j] for i, j in zip(ends, ends[1:])]
+
+
 class WordCachedEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,8 +115,9 @@ class WordCachedEncoder:
         self.max_words = MAX_WORDS
         self.rule = self._rule(path)
         self.alphabet = byte_characters()
-        self.space = self.alphabet[ord(" ")] if self.rule == "spaced" else ""
-        self.words = _Words(self._word, {})
+        self.space = self.alphabet[ord(" ")]
+        self.make = self._lower_word if self.rule == "lower" else self._word
+        self.words = _Words(self.make, {})
         self.heads: dict[str, bytes] = {}        # ids of words without a space before them
 
     @staticmethod
@@ -97,8 +134,10 @@ class WordCachedEncoder:
         steps = [s["type"] for s in (norm or {}).get("normalizers", [])]
         cuts = pre.get("pretokenizers", [])
         if steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]:
-            pattern = cuts[0]["pattern"].get("Regex", "")
-            if pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and pattern.startswith("'") and cuts[0]["invert"]:
+            head, *rest = cuts[0]["pattern"].get("Regex", "").partition(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            space = norm["normalizers"][1]
+            if re.fullmatch(r"'[a-z]+(\|'[a-z]+)*", head) and rest[0] and not rest[1] and cuts[0]["invert"] \
+                    and cuts[0]["behavior"] == "Removed" and (space["pattern"], space["content"]) == ({"Regex": r"\s+"}, " "):
                 return "lower"
         return None
 
@@ -136,7 +175,7 @@ class WordCachedEncoder:
         """Ids of " " + word."""
         if self.rule is not None and word.isascii():           # the most frequent forms, without a pattern
             if word.isalpha():
-                return self._model_ids(self.space + word if self.space else word.lower())
+                return self._model_ids(self.space + word)
             stem = word.rstrip(ASCII_MARKS)
             if stem.isalpha():
                 return self.words[stem] + self._head(word[len(stem):])
@@ -144,28 +183,49 @@ class WordCachedEncoder:
             raise OddSpacing
         if self.rule is None or not PLAIN.fullmatch(word):
             return self.ids(" " + word).tobytes()
-        if self.rule == "lower":
-            pieces = [p for p in PIECE.findall(word.lower()) if p != "\n"]
-        else:
-            pieces = PIECE.findall(word)
+        pieces = PIECE.findall(word)
         if len(pieces) == 1:
-            return self._piece(pieces[0] if self.rule == "lower" else " " + word)
+            return self._piece(" " + word)
         return self.words[pieces[0]] + b"".join(map(self._head, pieces[1:]))
 
+    def _lower_word(self, word: bytes) -> bytes:
+        """Ids of a word of ``lower_cut``."""
+        text = word.decode()
+        if word.isalpha():                                    # ASCII letters
+            return self._model_ids(text)
+        return self._piece(text) if WHOLE.fullmatch(text) else self.ids(text).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         collects = gc.isenabled()
         gc.disable()                                          # no cycles are made here, and the caches would be walked over and over
         try:
-            return [self._text(t) for t in texts]
+            return self._lower_texts(texts) if self.rule == "lower" else [self._text(t) for t in texts]
         finally:
             if collects:
                 gc.enable()
 
-    def _text(self, t: str) -> bytes:
+    def _bound(self) -> None:
         if len(self.words) > self.max_words:                  # the full generation becomes the old one
             self.words.old = {}
-            self.words = _Words(self._word, self.words)
+            self.words = _Words(self.make, self.words)
+
+    def _lower_texts(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        held: list[bytes] = []
+        size = 0
+        for i, raw in enumerate(map(str.encode, texts), 1):
+            held.append(raw)
+            size += len(raw)
+            if size >= RUN_BYTES or i == len(texts):
+                for t in lower_cut(held):
+                    self._bound()
+                    out.append(b"".join(map(self.words.__getitem__, t.split())))
+                held, size = [], 0
+        return out
+
+    def _text(self, t: str) -> bytes:
+        self._bound()
         head, *rest = t.split(" ")
         try:
             if not head or head[0].isspace() or head[-1].isspace():

@@ -88,6 +88,30 @@ def test_plain_words_equal_library(name, rule, monkeypatch):
     assert max(map(len, enc.words)) <= tokenizing.MAX_CACHED
 
 
+def test_lower_rule_shares_words():
+    enc, lib = WordCachedEncoder(P.path("word_bpe_49k.json")), library("word_bpe_49k.json")
+    words, calls = ["alpha", "été", "gamma"], []
+    forms = ["{}", "{},", "({})", "{}.\nNext", "{}\t{}", "{}'s", "2{}0", "[{}]:", "{}-{}"]
+    texts = [f.replace("{}", g(w)) for w in words for f in forms for g in (str, str.upper, str.title)]
+    tokenize, whole = enc._model_ids, enc.ids
+    enc._model_ids = lambda piece: calls.append(piece) or tokenize(piece)
+    enc.ids = lambda text: calls.append(text) or whole(text)
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) == len(set(calls)) == 3 + 1 + 1 + 2 + 7          # words, next, 's, 2 and 0, marks
+
+
+def test_lower_rule_keeps_what_composes(monkeypatch):
+    enc, lib = WordCachedEncoder(P.path("word_bpe_49k.json")), library("word_bpe_49k.json")
+    texts = ["", "\0", "a\0b \0", "T\u0308'", "xT", "\u0308", "É", "\u0304É\u0304", "=\u0338<", "9'S'LL", "ÀÖ×Ø÷Þßÿ", "\u212aÅ", " \x0b\x1c\x85a\u00a0B",
+             "A.\u0301B", "日本2019年.", "’s ‘Tis", "Σ ΑΣ İ", "²½x,", "  ", "a"]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (1, 8, 1 << 20):                          # texts alone and side by side
+        monkeypatch.setattr(tokenizing, "RUN_BYTES", size)
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+    assert enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
+
+
 def test_tournament_tree_is_first_fit():
     rnd = np.random.default_rng(3)
     sizes = np.sort(rnd.integers(1, 100, 300))[::-1]
