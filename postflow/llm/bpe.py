@@ -33,13 +33,30 @@ from postflow.llm import common as C
 LEAF_CHARS = 4096      # text leaves of the tree
 LEAF_BYTES = 64        # leaves inside one long match
 LOOK = 3               # characters past a match's end that decide it
-MAX_WORDS = 250_000    # bound of each cache's younger generation
+MAX_WORDS = 150_000    # words in the cache's younger generation; two generations take some 60 MB
+MAX_MATCHES = 50_000   # matches kept besides: those without a space before them, and those of oddly spaced texts
 _CODECS: dict[tuple[str, str], "TreeBPE"] = {}
+C.WORKER_CACHES.append(_CODECS)
 
 
-def _aged(young: dict, old: dict, more: int) -> tuple[dict, dict]:
-    """Two generations of a cache: a full young one becomes the old one."""
-    return (young, old) if len(young) + more <= MAX_WORDS else ({}, young)
+class _Words(dict):
+    """Ids of " " + word, made when first asked for; long words are not kept, so a bound on entries bounds bytes."""
+
+    def __init__(self, make, old: dict[str, bytes]):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= LEAF_BYTES:
+            self[word] = ids
+        return ids
+
+
+class _OddSpacing(Exception):
+    """The word is empty or has white space at an end: no boundary is proved before or after it."""
 
 
 class TreeBPE:
@@ -50,9 +67,7 @@ class TreeBPE:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.find = regex.compile(pattern)
         self.matches: dict[str, bytes] = {}     # ids of one match
-        self.words: dict[str, bytes] = {}       # ids of " " + word
-        self.old_matches: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        self.words = _Words(self._word, {})
         self.pairs: dict[tuple[int, int], bool] = {}
 
     # ---- inside one match
@@ -112,14 +127,16 @@ class TreeBPE:
         """Ids of one match of the pattern, as little-endian 32-bit integers."""
         ids = self.matches.get(m)
         if ids is None:
-            ids = self.old_matches.get(m)
-            if ids is None:
-                ids = np.array(self.encode_bytes(m.encode("utf-8", "surrogatepass")), dtype="<i4").tobytes()
+            ids = self._ids(m)
             if len(m) <= LEAF_BYTES:
-                self.matches, self.old_matches = _aged(self.matches, self.old_matches, 1)
+                if len(self.matches) >= min(MAX_MATCHES, MAX_WORDS):
+                    self.matches = {}
                 self.matches[m] = ids
         return ids
 
+    def _ids(self, m: str) -> bytes:
+        return np.array(self.encode_bytes(m.encode("utf-8", "surrogatepass")), dtype="<i4").tobytes()
+
     # ---- over matches
     def ends(self, text: str, start: int, stop: int) -> list[int]:
         return [m.end() for m in self.find.finditer(text, start, stop)]
@@ -176,26 +193,35 @@ class TreeBPE:
                     or rest[-1][-1:].isspace() or not rest[-1]:
                 return self._matched(text)
             head = ""                                    # the text starts with one space: all words are space-led
+        self._bound()
         try:
             body = b"".join(map(self.words.__getitem__, rest))
-        except KeyError:
-            if not self._learn(rest):
-                return self._matched(text)
-            body = b"".join(map(self.words.__getitem__, rest))
+        except _OddSpacing:
+            return self._matched(text)
         return (self._matched(head) if head else b"") + body
 
-    def _learn(self, words: list[str]) -> bool:
-        """Cache the ids of new space-led words; False if the spacing proves no boundary."""
-        new = set(words).difference(self.words)
-        if any(not w or w[0].isspace() or w[-1].isspace() for w in new):
-            return False
-        self.words, self.old_words = _aged(self.words, self.old_words, len(new))
-        if not self.words:                       # the words of this leaf are needed together
-            new = set(words)
-        for w in new:
-            ids = self.old_words.get(w)
-            self.words[w] = self._matched(" " + w) if ids is None else ids
-        return True
+    def _bound(self) -> None:
+        if len(self.words) >= MAX_WORDS:         # the full generation becomes the old one
+            self.words.old = {}
+            self.words = _Words(self._word, self.words)
+
+    def _word(self, w: str) -> bytes:
+        """Ids of " " + w. Where its first match, alone, is one match too, that is kept as a word, and only there."""
+        if not w or w[0].isspace() or w[-1].isspace():
+            raise _OddSpacing
+        text = " " + w
+        ends = self.ends(text, 0, len(text))
+        if len(ends) == 1:
+            return self._ids(text)
+        e = ends[0]
+        if e > 1 and not text[e - 1].isspace() and self.ends(text[:e], 0, e) == [e]:
+            out, at = [self.words[text[1:e]]], e
+        else:
+            out, at = [], 0
+        for e in ends[len(out):]:
+            out.append(self.encode_match(text[at:e]))
+            at = e
+        return b"".join(out)
 
     def _matched(self, text: str) -> bytes:
         out, at = [], 0

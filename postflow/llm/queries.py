@@ -13,7 +13,6 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postflow.llm import (
     alignment, bpe, conversations, hpy, langid, nn_descent, packing, quality, sharding, simhash, suffix_dedup, token_files, topk,
@@ -56,31 +55,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", at["n_bytes"], at["n_removed"], at["n_spans"], F.sha2(at["kept"], 256).alias("kept_sha256"))
 
 
-def _ids_text_digest():
-    import hashlib
-
-    names: list[str] = []
-
-    def work(ids):
-        n, sha = [], []
-        for doc in bpe.int_lists(ids):
-            top = max(doc, default=-1)
-            if top >= len(names):
-                names.extend(map(str, range(len(names), top + 1)))
-            n.append(len(doc))
-            sha.append(hashlib.sha256(" ".join(map(names.__getitem__, doc)).encode()).hexdigest())
-        return [n, sha]
-    return work
-
-
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode_texts(docs, path, pattern).select("doc_id", "ids")
     both = bpe.decode_ids(ids, path, pattern)
-    digests = C.map_columns(both.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded"), ["ids"],
-                            {"n_tokens": T.LongType(), "ids_sha256": T.StringType()}, _ids_text_digest, rows=500)
-    return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    text = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_hpy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Byte-level BPE, packing and token files against the public libraries."""
 
 import glob
+import hashlib
 import random
+import re
 import tempfile
 import zlib
 
@@ -12,7 +14,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from postflow.llm import bpe, packing, token_files, tokenizing
+from postflow.llm import bpe, packing, queries, token_files, tokenizing
 from postflow.llm.tokenizing import WordCachedEncoder
 from tests.llm.conftest import ROWS
 
@@ -64,6 +66,33 @@ def test_encode_and_decode_frames(docs, no_docs):
     assert bpe.encode_texts(no_docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
 
 
+def test_tree_caches_stay_small(monkeypatch):
+    """A word's match is kept once, long words not at all, and no more words than two generations hold."""
+    codec = bpe.TreeBPE(RANKS, P.PATTERN)
+    texts = ["a cat, a cat. a (cat) cat", "x " + "日本語" * 400 + " y", "x !!\n!! y\nz 's it's 12ab"]
+    assert [codec.encode(t) for t in texts] == [ENC.encode_ordinary(t) for t in texts]
+    assert "cat" in codec.words and " cat" not in codec.matches
+    assert max(map(len, [*codec.words, *codec.matches])) <= bpe.LEAF_BYTES
+    monkeypatch.setattr(bpe, "MAX_WORDS", 50)
+    monkeypatch.setattr(bpe, "MAX_MATCHES", 20)
+    for i in range(300):
+        t = f"a{chr(97 + i % 26)}{chr(97 + i // 26)}, b{i}. 'tis"
+        assert codec.encode(t) == ENC.encode_ordinary(t)
+        assert len(codec.words) < 60 and len(codec.words.old) < 60 and len(codec.matches) <= 20
+
+
+def test_byte_bpe_query(spark, docs, workdir):
+    """The digests, with two Python workers a core at most: what each holds adds up beside the heap."""
+    docs.write.parquet(f"{workdir}/bpe/documents.parquet")
+    made = queries.op7_byte_bpe(spark, f"{workdir}/bpe")
+    got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in made.collect()}
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    want = {(i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode()))
+            for i, t, _ in ROWS for ids in [ENC.encode_ordinary(t or "")]}
+    assert got == want and made.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert len(re.findall("MapInArrow", made._jdf.queryExecution().executedPlan().toString())) == 2
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_encoder_equals_library(name):
     enc, lib = WordCachedEncoder(P.path(name)), library(name)
