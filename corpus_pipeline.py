@@ -18,10 +18,8 @@ the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postflow.llm import common as C
 from postflow.llm import langid, packing, quality, simhash, suffix_dedup
@@ -49,14 +47,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found, at = suffix_dedup.remove_repeats(docs)
-    text = C.fresh_name(found, "left_text")
-
-    def decode():
-        return lambda raw: [pa.array([b.decode("utf-8", "ignore") for b in raw.to_pylist()], pa.string())]
-
-    cut = C.map_columns(found, [at["kept"]], {text: T.StringType()}, decode)
-    cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col(text)))
+    found, at = suffix_dedup.remove_repeats(docs, whole_characters=True)
+    cut = found.withColumn("text", F.when(F.col("text").isNotNull(), C.col(at["kept"])))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col(at["n_removed"]) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -268,8 +268,8 @@ def _copied(messages: pa.Table, n: int) -> np.ndarray:
 class _Dedup:
     """The steps' task code; holds only names and sizes."""
 
-    def __init__(self, id_col: str, text_col: str, buckets: int):
-        self.id_col, self.text_col, self.buckets = id_col, text_col, buckets
+    def __init__(self, id_col: str, text_col: str, buckets: int, whole_characters: bool):
+        self.id_col, self.text_col, self.buckets, self.whole_characters = id_col, text_col, buckets, whole_characters
 
     def digests(self, batches):
         for rows in batches:
@@ -455,18 +455,22 @@ class _Dedup:
             kept = np.r_[0, np.cumsum(np.diff(at) - n_gone)]
             left = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [
                 None, pa.py_buffer(kept.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[~gone]))]).cast(pa.binary())
+            if self.whole_characters:
+                left = pa.array([b.decode("utf-8", "ignore") for b in left.to_pylist()], pa.string())
             tables.append(pa.Table.from_arrays(
                 [*batch.columns, left, *(pa.array(x, pa.int64()) for x in (np.diff(at), n_gone, n_spans))],
                 names=[*batch.schema.names, *self.made]))
         return pa.concat_tables(tables)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   whole_characters: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with four more columns, whose names (fresh in ``docs``) are returned by
-    role: ``kept`` (binary, the remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans``."""
+    role: ``kept`` (binary, the remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans``.
+    ``whole_characters``: ``kept`` is a string without the characters that lost a byte."""
     names = {k: C.fresh_name(docs, k) for k in ("kept", "n_bytes", "n_removed", "n_spans")}
     chunks = C.write_chunks(docs, CHUNK)
-    work = _Dedup(id_col, text_col, max(64, chunks.count()))
+    work = _Dedup(id_col, text_col, max(64, chunks.count()), whole_characters)
     work.made = list(names.values())
     digests = C.checkpointed(chunks.mapInArrow(work.digests, "digest binary, doc long, chunk_id long, at int"))
     # checkpointed, so the join below has an exchange of its own and a hot digest is split
@@ -486,5 +490,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     segments = by_chunk(copies.union(shared)).applyInArrow(lambda c, m: work.apply(work.segments, c, m), block)
     spans = segments.groupBy("bucket").applyInArrow(lambda t: work.apply(work.spans, t), MESSAGE)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    schema += f", `{names['kept']}` binary" + "".join(f", `{names[k]}` long" for k in ("n_bytes", "n_removed", "n_spans"))
+    schema += f", `{names['kept']}` {'string' if whole_characters else 'binary'}" + "".join(f", `{names[k]}` long" for k in ("n_bytes", "n_removed", "n_spans"))
     return by_chunk(copies.union(spans)).applyInArrow(lambda c, m: work.apply(work.cut, c, m), schema), names

@@ -5,7 +5,7 @@ import pyarrow as pa
 
 import __spark_entry__ as E
 import corpus_pipeline
-from postflow.llm import langid, packing, queries, tokenizing
+from postflow.llm import langid, packing, queries, suffix_dedup, tokenizing
 from tests.llm.conftest import ROWS
 
 SF = "/root/testdata/sf0.001"
@@ -60,3 +60,16 @@ def test_packing_leaves_no_tokenizer_in_workers(spark, docs):
     assert encoders(False) > 0
     langid.predict(rows.repartition(16), langid.ByteCNN(["en", "fr"])).collect()
     assert encoders(False) == 0
+
+
+def test_one_python_worker_a_core(spark, docs):
+    """Python steps that follow each other in a stage hold a worker each, so what workers hold adds up beside the heap."""
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    made = corpus_pipeline.passage_dedup(spark, rows, "")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "").replace("FlatMapGroupsInArrow", "")
+    found, at = suffix_dedup.remove_repeats(rows)
+    key = lambda x: (x[0], x[1] or "")
+    assert sorted(((r.doc_id if r.doc_id is not None else -1, r.text) for r in made.collect()), key=key) == sorted(
+        ((r.doc_id if r.doc_id is not None else -1, None if r.text is None else bytes(r[at["kept"]]).decode("utf-8", "ignore"))
+         for r in found.collect()), key=key)
