@@ -1,13 +1,19 @@
 """Sharded source, atomic and keyed sinks, the live join and the supervisor."""
 
+import glob
 import json
+import os
+import zipfile
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postflow.plans import catalog  # noqa: F401  (registers; live_keys cannot come first)
+from postflow.plans.live_keys import BATCHES, _run_join
 from postflow.schemas import POSTS_STREAM
+from postflow.session import DRAIN_SETTINGS, drain_settings, use_state_on_disk
 from postflow.sources import sharded as S
 from postflow.streaming.keyed import KeyedTable, commit_batch
 from postflow.streaming.live import join_live, start_counts, timed_rows
@@ -170,6 +176,67 @@ def test_live_join_state_is_on_disk(spark, workdir):
     assert [s["numStateStoreInstances"] for s in last["stateOperators"]] == [parts] * 3
 
 
+def newest_snapshots(root):
+    """Of every state store below ``root``: the SST files of its newest snapshot."""
+    stores = {}
+    for f in glob.glob(f"{root}/state/*/*/*.zip"):
+        stores.setdefault(os.path.dirname(f), []).append(int(os.path.basename(f).removesuffix(".zip")))
+    out = {}
+    for store, versions in stores.items():
+        with zipfile.ZipFile(f"{store}/{max(versions)}.zip") as z:
+            out[store] = json.loads(z.read("metadata").decode().split("\n", 1)[1])["sstFiles"]
+    return out
+
+
+def test_drained_join_keeps_little_on_disk(spark, workdir):
+    """Snapshots in place of change logs, none of the rows that have left the state, and no shuffle beyond its batch."""
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for minute, live in ((0, True), (600, False)):                                       # rows, then heartbeats
+        for x in ("posts", "geo"):
+            land(spark, f"{workdir}/{x}", [(i, post(i) if live else None, minute) for i in range(20)])
+        before = shuffles.size()
+        joined(spark, workdir)
+        assert shuffles.size() <= before
+        held = newest_snapshots(f"{workdir}/cj")
+        assert len(held) == 3 * parts and any(held.values()) == live
+        assert not glob.glob(f"{workdir}/cj/state/*/*/*.changelog")
+
+
+def test_drain_settings_last_for_the_start(spark):
+    """They hold inside, for drained queries only, not against the caller's own, and the session is left as it was."""
+    use_state_on_disk(spark)
+    retain, logs = "spark.sql.streaming.minBatchesToRetain", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    before = dict(spark.conf.getAll)
+    with drain_settings(spark, "10 seconds"):
+        assert dict(spark.conf.getAll) == before
+    with drain_settings(spark, "availableNow"):
+        assert {k: spark.conf.get(k) for k in DRAIN_SETTINGS} == DRAIN_SETTINGS
+    assert dict(spark.conf.getAll) == before and before[logs] == "true"
+    spark.conf.set(retain, "7")
+    try:
+        with drain_settings(spark, "availableNow"):
+            assert (spark.conf.get(retain), spark.conf.get(logs)) == ("7", "false")
+        assert spark.conf.get(retain) == "7"
+    finally:
+        spark.conf.unset(retain)
+
+
+def test_live_join_in_batches(spark, workdir):
+    """What waits is joined in ``BATCHES`` batches: pairs and copies that come in different ones count as in one."""
+    geo_row = lambda i: json.dumps({"ind": i, "country": f"land{i}", "latitude": 1.0, "longitude": 2.0})
+    for i in range(BATCHES):                                                             # posts from 0 up, their places from the last down
+        land(spark, f"{workdir}/posts", [(i, post(i), 0), (0, post(0), 0), (100 + i, post(100 + i), 0)])
+        land(spark, f"{workdir}/geo", [(BATCHES - 1 - i, geo_row(BATCHES - 1 - i), 0), (1, geo_row(1), 0)])
+    _run_join(spark, workdir, BATCHES)
+    assert len(glob.glob(f"{workdir}/joined/run=*/batch=*")) >= BATCHES
+    for x in ("posts", "geo"):
+        land(spark, f"{workdir}/{x}", [(0, None, 1440)])
+    _run_join(spark, workdir, 1)
+    got = sorted((r.ind, r.country) for r in spark.read.parquet(f"{workdir}/joined").collect())
+    assert got == [(i, f"land{i}") for i in range(BATCHES)] + [(100 + i, None) for i in range(BATCHES)]
+
+
 def test_live_counts_follow_batches(spark, workdir):
     table = KeyedTable(spark, f"{workdir}/counts", T.StructType([T.StructField("category", T.StringType()), T.StructField("n", T.LongType())]), ["category"])
     want = {}
